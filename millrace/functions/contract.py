@@ -69,8 +69,12 @@ def quoted_list(values: Iterable[str]) -> str:
 
 
 def _kind(body: Column) -> Column:
-    """Bare JSON type of a variant: ``DECIMAL(3,1)`` becomes ``DECIMAL``."""
-    return F.regexp_extract(F.schema_of_variant(body), r"^([A-Z]+)", 1)
+    """Bare JSON type of a variant: ``DECIMAL(3,1)`` becomes ``DECIMAL``.
+
+    A field that is not there has the type of JSON null.
+    """
+    kind = F.regexp_extract(F.schema_of_variant(body), r"^([A-Z]+)", 1)
+    return F.coalesce(kind, F.lit("VOID"))
 
 
 def _field(name: str) -> Column:
