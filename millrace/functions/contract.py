@@ -10,7 +10,7 @@ import json
 from collections.abc import Iterable
 from dataclasses import dataclass
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column
 from pyspark.sql import functions as F
 
 # The contract used when no schema document is given.
@@ -35,9 +35,6 @@ TYPE_NAMES = {
 
 MALFORMED = "Mensagem não é JSON válido"
 
-_BODY = "_contract_body"
-
-
 @dataclass(frozen=True)
 class Contract:
     required: tuple[str, ...] = REQUIRED_FIELDS
@@ -77,91 +74,82 @@ def _kind(body: Column) -> Column:
     return F.coalesce(kind, F.lit("VOID"))
 
 
-def _field(name: str) -> Column:
-    return F.try_variant_get(F.col(_BODY), f"$.{name}", "variant")
+def reason(body: str, text: str, contract: Contract) -> Column:
+    """Why an event breaks the contract; NULL if it does not.
 
+    ``body`` is the column holding the message parsed to a variant (NULL for
+    text that does not parse, such as a repeated key or NaN), ``text`` the
+    column holding the message itself.
+    """
 
-def _text(name: str) -> Column:
-    return F.try_variant_get(F.col(_BODY), f"$.{name}", "string")
+    def kind(name: str) -> Column:
+        return _kind(F.try_variant_get(F.col(body), f"$.{name}", "variant"))
 
+    def content(name: str) -> Column:
+        return F.try_variant_get(F.col(body), f"$.{name}", "string")
 
-def _type_name(kind: Column) -> Column:
-    pairs = [F.lit(part) for item in TYPE_NAMES.items() for part in item]
-    return F.coalesce(F.element_at(F.create_map(*pairs), kind), kind)
-
+    def in_enum(name: str, values: Iterable[str]) -> Column:
+        return (kind(name) == "STRING") & content(name).isin(*values)
 
-def _shown(name: str) -> Column:
-    """A field's value the way reasons print it."""
-    kind = _kind(_field(name))
-    return (
-        F.when(kind == "VOID", F.lit("None"))
-        .when(kind == "BOOLEAN", F.initcap(_text(name)))
-        .otherwise(_text(name))
-    )
+    def shown(name: str) -> Column:
+        return (
+            F.when(kind(name) == "VOID", F.lit("None"))
+            .when(kind(name) == "BOOLEAN", F.initcap(content(name)))
+            .otherwise(content(name))
+        )
 
+    root = _kind(F.col(body))
+    keys = F.json_object_keys(F.col(text))
+    required = F.array(*[F.lit(k) for k in contract.required])
+    missing = F.array_sort(F.array_except(required, keys))
+    numbers = ["BIGINT", "DECIMAL", "DOUBLE"] + ["BOOLEAN"] * contract.bool_is_number
 
-def _is_string_in(name: str, values: Iterable[str]) -> Column:
-    return (_kind(_field(name)) == "STRING") & _text(name).isin(*values)
+    checks = [
+        (F.col(body).isNull(), F.lit(MALFORMED)),
+        (keys.isNull(), _say("Evento deve ser dict, recebeu: ", _type_name(root))),
+        (
+            F.size(missing) > 0,
+            _say("Campos ausentes: ['", F.array_join(missing, "', '"), "']"),
+        ),
+        (
+            ~kind("value").isin(numbers),
+            _say("'value' deve ser numérico, recebeu: ", _type_name(kind("value"))),
+        ),
+        (
+            kind("is_anomaly") != "BOOLEAN",
+            _say("'is_anomaly' deve ser bool, recebeu: ", _type_name(kind("is_anomaly"))),
+        ),
+        (
+            ~in_enum("quality", contract.qualities),
+            _say(
+                "'quality' inválido: ",
+                shown("quality"),
+                f" (esperado: {quoted_list(contract.qualities)})",
+            ),
+        ),
+        (
+            ~in_enum("measurement_type", contract.measurement_types),
+            _say("'measurement_type' inválido: ", shown("measurement_type")),
+        ),
+        (kind("metadata") != "OBJECT", F.lit("'metadata' deve ser um objeto JSON")),
+    ]
+    return F.coalesce(*[F.when(broken, message) for broken, message in checks])
 
 
-def with_reason(
-    df: DataFrame, text: str, contract: Contract, out: str = "_dlq_reason"
-) -> DataFrame:
-    """Add the reason column for the JSON text in column ``text``.
+def _kind(body: Column) -> Column:
+    """Bare JSON type of a variant: ``DECIMAL(3,1)`` becomes ``DECIMAL``.
 
-    The text is parsed to a variant once, in a projection of its own, and all
-    checks read that column. A repeated key, NaN and broken text do not parse
-    and count as malformed.
+    A field that is not there has the type of JSON null.
     """
-    root = _kind(F.col(_BODY))
-    missing = F.array_sort(
-        F.array_except(
-            F.array(*[F.lit(k) for k in contract.required]), F.json_object_keys(F.col(text))
-        )
+    return F.coalesce(
+        F.regexp_extract(F.schema_of_variant(body), r"^([A-Z]+)", 1), F.lit("VOID")
     )
-    numbers = ["BIGINT", "DECIMAL", "DOUBLE"] + ["BOOLEAN"] * contract.bool_is_number
-    value_kind, anomaly_kind = _kind(_field("value")), _kind(_field("is_anomaly"))
 
-    reason = (
-        F.when(F.col(_BODY).isNull(), F.lit(MALFORMED))
-        .when(
-            root != "OBJECT",
-            F.concat(F.lit("Evento deve ser dict, recebeu: "), _type_name(root)),
-        )
-        .when(
-            F.size(missing) > 0,
-            F.concat(
-                F.lit("Campos ausentes: ['"), F.array_join(missing, "', '"), F.lit("']")
-            ),
-        )
-        .when(
-            ~value_kind.isin(numbers),
-            F.concat(
-                F.lit("'value' deve ser numérico, recebeu: "), _type_name(value_kind)
-            ),
-        )
-        .when(
-            anomaly_kind != "BOOLEAN",
-            F.concat(
-                F.lit("'is_anomaly' deve ser bool, recebeu: "), _type_name(anomaly_kind)
-            ),
-        )
-        .when(
-            ~_is_string_in("quality", contract.qualities),
-            F.concat(
-                F.lit("'quality' inválido: "),
-                _shown("quality"),
-                F.lit(f" (esperado: {quoted_list(contract.qualities)})"),
-            ),
-        )
-        .when(
-            ~_is_string_in("measurement_type", contract.measurement_types),
-            F.concat(F.lit("'measurement_type' inválido: "), _shown("measurement_type")),
-        )
-        .when(
-            _kind(_field("metadata")) != "OBJECT",
-            F.lit("'metadata' deve ser um objeto JSON"),
-        )
-    )
-    parsed = df.withColumn(_BODY, F.try_parse_json(F.col(text)))
-    return parsed.withColumn(out, reason).drop(_BODY)
+
+def _type_name(kind: Column) -> Column:
+    pairs = [F.lit(part) for item in TYPE_NAMES.items() for part in item]
+    return F.coalesce(F.element_at(F.create_map(*pairs), kind), kind)
+
+
+def _say(*parts: Column | str) -> Column:
+    return F.concat(*[F.lit(p) if isinstance(p, str) else p for p in parts])

@@ -112,20 +112,20 @@ class SnapshotTable:
         folder = f"{self.path}/{_SNAPSHOT}={snapshot}"
         return f"{folder}/{part}" if part else folder
 
-    def _load(self, schema: T.StructType, folders: Sequence[str]) -> DataFrame:
+    def _load(
+        self, schema: T.StructType, folders: Sequence[str], file_column: str | None = None
+    ) -> DataFrame:
         if not folders:
             return self.spark.createDataFrame([], schema)
-        return (
-            self.spark.read.schema(schema)
-            .option("basePath", self.path)
-            .parquet(*folders)
-            .select(*schema.names)
-        )
+        files = self.spark.read.schema(schema).option("basePath", self.path)
+        extra = [F.col("_metadata.file_path").alias(file_column)] if file_column else []
+        return files.parquet(*folders).select(*schema.names, *extra)
 
-    def _read_parts(self, manifest: Manifest, parts: Collection[str]) -> DataFrame:
-        return self._load(
-            manifest.schema, [self._folder(manifest.parts[p], p) for p in sorted(parts)]
-        )
+    def _read_parts(
+        self, manifest: Manifest, parts: Collection[str], file_column: str | None = None
+    ) -> DataFrame:
+        folders = [self._folder(manifest.parts[p], p) for p in sorted(parts)]
+        return self._load(manifest.schema, folders, file_column)
 
     # -- write -----------------------------------------------------------
 
@@ -256,13 +256,12 @@ class SnapshotTable:
 
         The answer has at most one row per partition folder.
         """
-        probe = self._read_parts(kept, candidates)
+        probe = self._read_parts(kept, candidates, file_column="_file")
         for key, (low, high) in key_ranges.items():
             if low is not None and key not in null_safe:
                 probe = probe.filter(F.col(key).between(F.lit(low), F.lit(high)))
-        probe = probe.select(*keys, F.col("_metadata.file_path").alias("_file"))
         folders = (
-            probe.alias("t")
+            probe.select(*keys, "_file").alias("t")
             .join(
                 source.select(*keys).alias("s"),
                 key_match("t", "s", keys, null_safe),

@@ -8,7 +8,7 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.streaming import StreamingQuery
 
-from millrace.functions.contract import Contract, with_reason
+from millrace.functions.contract import Contract, reason
 from millrace.sources.events import BATCH_COLUMN, message_text
 
 REASON = "_dlq_reason"
@@ -31,11 +31,15 @@ def event_day(text: Column) -> Column:
 
 
 def classify(messages: DataFrame, contract: Contract = Contract()) -> DataFrame:
-    """Decode messages and add the reason (NULL = valid) and the routing columns."""
-    decoded = with_reason(messages.select(*message_text()), "_text", contract, REASON)
-    parsed = decoded.withColumn("_event", F.try_parse_json("_text"))
-    return parsed.select(
+    """Decode messages and add the reason (NULL = valid) and the routing columns.
+
+    The text is parsed to a variant once; everything after reads the variant.
+    """
+    parsed = messages.select(*message_text()).withColumn("_event", F.try_parse_json("_text"))
+    judged = parsed.withColumn(REASON, reason("_event", "_text", contract))
+    return judged.select(
         "_text",
+        "_event",
         "_kafka_offset",
         "_kafka_partition",
         "_kafka_topic",
@@ -51,14 +55,16 @@ def classify(messages: DataFrame, contract: Contract = Contract()) -> DataFrame:
 
 def _json_line(extra: dict[str, Column]) -> Column:
     """The event with fields added, as JSON text; the event's own fields stay."""
-    added = F.from_json(
-        F.to_json(F.struct(*[c.alias(k) for k, c in extra.items()]), {"ignoreNullFields": "false"}),
-        "map<string,variant>",
-    )
+    pairs = [part for k, c in extra.items() for part in (F.lit(k), _to_variant(c))]
     event = F.map_filter(
-        F.from_json("_text", "map<string,variant>"), lambda k, _: ~k.isin(*extra)
+        F.try_variant_get("_event", "$", "map<string,variant>"),
+        lambda k, _: ~k.isin(*extra),
     )
-    return F.to_json(F.map_concat(event, added))
+    return F.to_json(F.map_concat(event, F.create_map(*pairs)))
+
+
+def _to_variant(column: Column) -> Column:
+    return F.coalesce(column.cast("variant"), F.parse_json(F.lit("null")))
 
 
 def valid_lines(classified: DataFrame) -> DataFrame:
@@ -87,9 +93,7 @@ def dead_lines(classified: DataFrame) -> DataFrame:
         "_kafka_offset": F.col("_kafka_offset"),
         "_kafka_partition": F.col("_kafka_partition"),
     }
-    is_object = F.try_variant_get(
-        F.try_parse_json("_text"), "$", "map<string,variant>"
-    ).isNotNull()
+    is_object = F.try_variant_get("_event", "$", "map<string,variant>").isNotNull()
     raw = F.to_json(F.struct(F.col("_text").alias("_raw"), *[c.alias(k) for k, c in tags.items()]))
     invalid = classified.filter(F.col(REASON).isNotNull())
     return invalid.select(
@@ -100,8 +104,7 @@ def dead_lines(classified: DataFrame) -> DataFrame:
 
 def anomaly_alerts(classified: DataFrame) -> DataFrame:
     """One row per anomalous valid event, with the fields an alert needs."""
-    parsed = classified.filter("is_anomaly").withColumn("_event", F.try_parse_json("_text"))
-    return parsed.select(
+    return classified.filter("is_anomaly").select(
         _field("event_id").alias("event_id"),
         _field("sensor_id").alias("sensor_id"),
         _field("equipment_id").alias("equipment_id"),
