@@ -1,0 +1,6 @@
+"""Every operator as a query over the given tables, with its SQL."""
+
+from millrace.catalog import layers  # noqa: F401
+from millrace.catalog.registry import ORACLES, QUERIES
+
+__all__ = ["ORACLES", "QUERIES"]

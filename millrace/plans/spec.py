@@ -58,7 +58,7 @@ class Refinement:
 
     keys: tuple[str, ...]
     casts: Mapping[str, str]
-    filters: tuple[Column, ...] | Callable[[], tuple[Column, ...]]
+    filters: Callable[[], tuple[Column, ...]]
     order_by: tuple[str, ...] = ("_execution_date", "_processed_at")
     derive: Mapping[str, Callable[[], Column]] = field(default_factory=dict)
     drop: tuple[str, ...] = ()
@@ -68,7 +68,7 @@ class Refinement:
         if self.derive:
             bronze = bronze.withColumns({n: make() for n, make in self.derive.items()})
         typed = cast_columns(bronze, self.casts, self.drop)
-        for predicate in self.filters() if callable(self.filters) else self.filters:
+        for predicate in self.filters():
             typed = typed.filter(predicate)
         if before is not None:
             typed = typed.observe(before, F.count(F.lit(1)).alias("rows"))
