@@ -103,6 +103,7 @@ def daily_trend(hourly: DataFrame, days: int = 7) -> DataFrame:
         "data",
         "leituras",
         (F.col("soma") / F.col("leituras")).alias("media_dia"),
+        F.sum("leituras").over(frame).alias("leituras_movel"),
         (F.sum("soma").over(frame) / F.sum("leituras").over(frame)).alias("media_movel"),
     )
 
