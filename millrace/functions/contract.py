@@ -98,23 +98,23 @@ def reason(body: str, text: str, contract: Contract) -> Column:
             .otherwise(content(name))
         )
 
-    root = _kind(F.col(body))
     keys = F.json_object_keys(F.col(text))
     required = F.array(*[F.lit(k) for k in contract.required])
-    missing = F.array_sort(F.array_except(required, keys))
-    numbers = ["BIGINT", "DECIMAL", "DOUBLE"] + ["BOOLEAN"] * contract.bool_is_number
+    missing = F.sort_array(F.array_except(required, keys))
+    whole = ["BIGINT", "DOUBLE"] + ["BOOLEAN"] * contract.bool_is_number
+    number = kind("value").isin(whole) | kind("value").startswith("DECIMAL")
 
     checks = [
         (F.col(body).isNull(), F.lit(MALFORMED)),
-        (keys.isNull(), _say("Evento deve ser dict, recebeu: ", _type_name(root))),
         (
-            F.size(missing) > 0,
-            _say("Campos ausentes: ['", F.array_join(missing, "', '"), "']"),
+            keys.isNull(),
+            _say("Evento deve ser dict, recebeu: ", _type_name(_kind(F.col(body)))),
         ),
         (
-            ~kind("value").isin(numbers),
-            _say("'value' deve ser numérico, recebeu: ", _type_name(kind("value"))),
+            F.size(missing) > 0,
+            _say("Campos ausentes: ['", F.array_join(missing, "', '"), "']"),
         ),
+        (~number, _say("'value' deve ser numérico, recebeu: ", _type_name(kind("value")))),
         (
             kind("is_anomaly") != "BOOLEAN",
             _say("'is_anomaly' deve ser bool, recebeu: ", _type_name(kind("is_anomaly"))),
@@ -131,24 +131,27 @@ def reason(body: str, text: str, contract: Contract) -> Column:
             ~in_enum("measurement_type", contract.measurement_types),
             _say("'measurement_type' inválido: ", shown("measurement_type")),
         ),
-        (kind("metadata") != "OBJECT", F.lit("'metadata' deve ser um objeto JSON")),
+        (
+            ~kind("metadata").startswith("OBJECT"),
+            F.lit("'metadata' deve ser um objeto JSON"),
+        ),
     ]
     return F.coalesce(*[F.when(broken, message) for broken, message in checks])
 
 
 def _kind(body: Column) -> Column:
-    """Bare JSON type of a variant: ``DECIMAL(3,1)`` becomes ``DECIMAL``.
+    """Type of a variant, such as ``STRING``, ``DECIMAL(3,1)`` or ``OBJECT<...>``.
 
     A field that is not there has the type of JSON null.
     """
-    return F.coalesce(
-        F.regexp_extract(F.schema_of_variant(body), r"^([A-Z]+)", 1), F.lit("VOID")
-    )
+    return F.coalesce(F.schema_of_variant(body), F.lit("VOID"))
 
 
 def _type_name(kind: Column) -> Column:
+    """The name reasons use for a type: parameters dropped, then looked up."""
+    bare = F.substring_index(F.substring_index(kind, "(", 1), "<", 1)
     pairs = [F.lit(part) for item in TYPE_NAMES.items() for part in item]
-    return F.coalesce(F.element_at(F.create_map(*pairs), kind), kind)
+    return F.coalesce(F.element_at(F.create_map(*pairs), bare), bare)
 
 
 def _say(*parts: Column | str) -> Column:

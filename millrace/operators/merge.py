@@ -27,15 +27,20 @@ def require_unique(df: DataFrame, keys: Sequence[str]) -> DataFrame:
     """
     known = reduce(lambda a, b: a & b, [F.col(k).isNotNull() for k in keys])
     rank = F.row_number().over(Window.partitionBy(*keys).orderBy(F.lit(1)))
-    return (
-        df.withColumn(_RANK, rank)
-        .filter(
-            F.when(
-                (F.col(_RANK) > 1) & known,
-                F.raise_error(F.lit(f"several source rows share the key {list(keys)}")),
-            ).otherwise(F.lit(True))
-        )
-        .drop(_RANK)
+    ranked = df.withColumn(_RANK, rank).filter(
+        F.when(
+            (F.col(_RANK) > 1) & known,
+            F.raise_error(F.lit(f"several source rows share the key {list(keys)}")),
+        ).otherwise(F.lit(True))
+    )
+    # Ranks start at 1, so this changes no value. It keeps a key that is one
+    # literal in the whole source (a run date) from being folded out of the
+    # join, which would then match on the remaining keys alone.
+    return ranked.select(
+        *[
+            F.when(F.col(_RANK) > 0, F.col(c)).alias(c) if c in keys else F.col(c)
+            for c in df.columns
+        ]
     )
 
 
@@ -56,7 +61,6 @@ def upsert(
     *,
     null_safe: Sequence[str] = (),
     use_row_hash: bool = False,
-    unique_checked: bool = False,
 ) -> DataFrame:
     """Target after the source has been merged into it.
 
@@ -69,9 +73,7 @@ def upsert(
     missing = set(target.columns) - set(source.columns)
     if missing:
         raise ValueError(f"source lacks target columns: {sorted(missing)}")
-    if not unique_checked:
-        source = require_unique(source, keys)
-
+    source = require_unique(source, keys)
     newer = F.col(f"s.{GUARD}") >= F.col(f"t.{GUARD}")
     if use_row_hash:
         newer = newer & ~F.col(f"s.{ROW_HASH}").eqNullSafe(F.col(f"t.{ROW_HASH}"))

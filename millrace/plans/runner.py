@@ -11,6 +11,7 @@ from pyspark.sql import Observation, Row
 from pyspark.sql import functions as F
 
 from millrace.operators.columns import add_metadata
+from millrace.operators.merge import GUARD
 from millrace.operators.quality import (
     Level,
     QualityError,
@@ -63,7 +64,8 @@ def run(lake: Lake, spec: TableSpec, day: dt.date) -> RunResult:
     batch = add_metadata(spec.build(lake, day, before), day, spec.source)
 
     table = lake.table(spec.path)
-    staged = table.stage(batch, spec.partition_by)
+    # Batches of tables stored by run date hold a single one.
+    staged = table.stage(batch, spec.partition_by, constant=[GUARD])
     bounds = [k for k in spec.keys if k not in spec.null_safe]
     measured = measure(table.read_staged(staged), spec.rules, key_bounds(bounds)).first()
     if measured["rows"] == 0:
@@ -84,6 +86,7 @@ def run(lake: Lake, spec: TableSpec, day: dt.date) -> RunResult:
             null_safe=spec.null_safe,
             replace_day=day if spec.replaces_day else None,
             key_ranges=key_ranges(measured, bounds),
+            keys_stay=spec.keys_stay,
         )
     else:
         table.replace_partitions(staged, where={"_execution_date": day.isoformat()})

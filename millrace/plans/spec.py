@@ -28,6 +28,8 @@ class TableSpec:
 
     Without keys a load replaces the run date's partition (bronze); with keys
     it upserts. ``replaces_day`` first drops the rows of the run date (facts).
+    ``keys_stay`` says that a key is only ever loaded into one partition, which
+    saves the upsert a look at the others.
     """
 
     path: str
@@ -37,6 +39,7 @@ class TableSpec:
     null_safe: tuple[str, ...] = ()
     partition_by: tuple[str, ...] = ()
     replaces_day: bool = False
+    keys_stay: bool = False
     counts_duplicates: bool = False
 
     @property

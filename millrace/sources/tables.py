@@ -129,16 +129,23 @@ class SnapshotTable:
 
     # -- write -----------------------------------------------------------
 
-    def stage(self, df: DataFrame, partition_by: Sequence[str] = ()) -> Staged:
-        """Write a batch beside the table. Nothing changes for readers."""
+    def stage(
+        self,
+        df: DataFrame,
+        partition_by: Sequence[str] = (),
+        constant: Sequence[str] = (),
+    ) -> Staged:
+        """Write a batch beside the table. Nothing changes for readers.
+
+        Rows are rebalanced by the partition columns into few, well-sized
+        files: adaptive execution merges small shuffle blocks and splits those
+        of a hot partition. Columns known to be ``constant`` in the batch need
+        no such shuffle.
+        """
         snapshot = f"s-{uuid.uuid4().hex}"
         folder = self._folder(snapshot, "")
-        writer = df
-        if partition_by:
-            # Few, well-sized files per partition: adaptive execution merges
-            # small shuffle blocks and splits those of a hot partition.
-            writer = df.hint("rebalance", *partition_by)
-        write = writer.write.mode("overwrite")
+        varying = [c for c in partition_by if c not in constant]
+        write = (df.hint("rebalance", *varying) if varying else df).write.mode("overwrite")
         if partition_by:
             write = write.partitionBy(*partition_by)
         write.parquet(folder)
@@ -196,13 +203,16 @@ class SnapshotTable:
         replace_day: dt.date | None = None,
         use_row_hash: bool = False,
         key_ranges: Mapping[str, tuple] | None = None,
+        keys_stay: bool = False,
     ) -> list[str]:
         """Upsert a staged batch; returns the partitions that were rewritten.
 
         Only partitions that hold a matching key, or that the batch falls in,
         are read and rewritten; the others keep their snapshot. Matching keys
         are looked for in a scan of the key columns alone, narrowed by
-        ``key_ranges`` (lowest and highest key of the batch).
+        ``key_ranges`` (lowest and highest key of the batch). With
+        ``keys_stay`` the caller states that a key never changes partition,
+        and the scan is saved.
         """
         previous = self.manifest()
         if previous is None:
@@ -220,7 +230,7 @@ class SnapshotTable:
         kept = Manifest(previous.version, previous.schema, previous.partition_by, base)
 
         touched = set(staged.parts) & set(base)
-        if previous.partition_by and set(base) - touched:
+        if previous.partition_by and set(base) - touched and not keys_stay:
             touched |= self._matched_parts(
                 kept, set(base) - touched, source, keys, null_safe, key_ranges or {}
             )

@@ -9,7 +9,9 @@ from pyspark.sql import functions as F
 from pyspark.sql.streaming import StreamingQuery
 
 from millrace.functions.contract import Contract, reason
+from millrace.session import session_conf
 from millrace.sources.events import BATCH_COLUMN, message_text
+from millrace.sources.plain import overwrite_partitions
 
 REASON = "_dlq_reason"
 EVENT_PARTITIONS = ("factory_id", "measurement_type", "dt")
@@ -67,10 +69,33 @@ def _to_variant(column: Column) -> Column:
     return F.coalesce(column.cast("variant"), F.parse_json(F.lit("null")))
 
 
+def _spliced_line(extra: dict[str, Column]) -> Column:
+    """The same for valid events: the new fields go before the closing brace.
+
+    The event's text is kept as it came, which saves writing it anew. That
+    needs text of one line that has none of the new fields; other events are
+    written from their parsed form.
+    """
+    fields = F.to_json(
+        F.struct(*[c.alias(k) for k, c in extra.items()]), {"ignoreNullFields": "false"}
+    )
+    text = F.rtrim(F.col("_text"), F.lit(" \t\r\n"))
+    spliced = F.concat(
+        F.substring(text, F.lit(1), F.length(text) - 1),
+        F.lit(","),
+        F.substring(fields, F.lit(2), F.length(fields)),
+    )
+    reserved = F.array(*[F.lit(k) for k in extra])
+    plain = ~text.contains("\n") & ~text.contains("\r") & ~F.arrays_overlap(
+        F.json_object_keys("_text"), reserved
+    )
+    return F.when(plain, spliced).otherwise(_json_line(extra))
+
+
 def valid_lines(classified: DataFrame) -> DataFrame:
     """NDJSON line and partition columns of every valid event."""
     now = F.date_format(F.current_timestamp(), "yyyy-MM-dd'T'HH:mm:ss.SSSSSS'Z'")
-    line = _json_line(
+    line = _spliced_line(
         {
             "_ingested_at": now,
             "_kafka_offset": F.col("_kafka_offset"),
@@ -157,20 +182,26 @@ def batch_writer(root: str) -> Callable[[DataFrame, int], None]:
     root = root.rstrip("/")
 
     def write(batch: DataFrame, batch_id: int) -> None:
-        # Lets the rebalance below split a hot factory over several tasks.
-        batch.sparkSession.conf.set("spark.sql.adaptive.enabled", "true")
+        # Adaptive execution splits a hot factory over several tasks. Small
+        # folders are not merged into one task, which would write them in turn.
+        settings = {
+            "spark.sql.adaptive.enabled": "true",
+            "spark.sql.adaptive.coalescePartitions.enabled": "false",
+        }
         batch.persist()
         try:
-            _write_batch_lines(valid_lines(batch), root, EVENT_PARTITIONS, batch_id)
-            _write_batch_lines(dead_lines(batch), f"{root}/{DEAD_LETTER}", ("dt",), batch_id)
-            (
-                anomaly_alerts(batch)
-                .withColumn(BATCH_COLUMN, F.lit(batch_id))
-                .write.mode("overwrite")
-                .option("partitionOverwriteMode", "dynamic")
-                .partitionBy("dt", BATCH_COLUMN)
-                .parquet(f"{root}/{ALERTS}")
-            )
+            with session_conf(batch.sparkSession, settings):
+                _write_batch_lines(valid_lines(batch), root, EVENT_PARTITIONS, batch_id)
+                _write_batch_lines(
+                    dead_lines(batch), f"{root}/{DEAD_LETTER}", ("dt",), batch_id
+                )
+                overwrite_partitions(
+                    anomaly_alerts(batch)
+                    .withColumn(BATCH_COLUMN, F.lit(batch_id))
+                    .hint("rebalance", "dt"),
+                    f"{root}/{ALERTS}",
+                    ["dt", BATCH_COLUMN],
+                )
         finally:
             batch.unpersist()
 
