@@ -10,7 +10,7 @@ import json
 from collections.abc import Iterable
 from dataclasses import dataclass
 
-from pyspark.sql import Column
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 # The contract used when no schema document is given.
@@ -74,69 +74,100 @@ def _kind(body: Column) -> Column:
     return F.coalesce(kind, F.lit("VOID"))
 
 
-def reason(body: str, text: str, contract: Contract) -> Column:
-    """Why an event breaks the contract; NULL if it does not.
+def with_reason(
+    df: DataFrame, body: str, text: str, contract: Contract, out: str
+) -> DataFrame:
+    """Add the reason column; NULL for events that keep the contract.
 
     ``body`` is the column holding the message parsed to a variant (NULL for
     text that does not parse, such as a repeated key or NaN), ``text`` the
     column holding the message itself.
+
+    Three projections: what the checks look at, the number of the first check
+    that fails, and its message. Each looks up the one before, which keeps the
+    generated code small enough to be compiled well.
     """
+    # Keys need a pass over the text, and are looked at twice.
+    looked_at = df.withColumn("_keys", F.json_object_keys(text)).withColumns(
+        {
+            "_missing": _missing_keys(contract),
+            "_root": F.when(F.col("_keys").isNull(), _kind(F.col(body))),
+            **{f"_{f}_kind": _kind(_field(body, f)) for f in _TYPED},
+            **{f"_{f}": _content(body, f) for f in _ENUMS},
+        }
+    )
+    judged = looked_at.withColumn("_check", _first_failure(body, contract))
+    texts = [
+        (MALFORMED, ""),
+        ("Evento deve ser dict, recebeu: ", ""),
+        ("Campos ausentes: ['", "']"),
+        ("'value' deve ser numérico, recebeu: ", ""),
+        ("'is_anomaly' deve ser bool, recebeu: ", ""),
+        ("'quality' inválido: ", f" (esperado: {quoted_list(contract.qualities)})"),
+        ("'measurement_type' inválido: ", ""),
+        ("'metadata' deve ser um objeto JSON", ""),
+    ]
+    before, after = (F.array(*[F.lit(t[i]) for t in texts]) for i in (0, 1))
+    check = F.col("_check")
+    type_shown = (
+        F.when(check == 2, F.col("_root"))
+        .when(check == 4, F.col("_value_kind"))
+        .otherwise(F.col("_is_anomaly_kind"))
+    )
+    detail = (
+        F.when(check.isin(1, 8), "")
+        .when(check == 3, F.array_join("_missing", "', '"))
+        .when(check == 6, _shown("quality"))
+        .when(check == 7, _shown("measurement_type"))
+        .otherwise(_type_name(type_shown))
+    )
+    reason = F.when(
+        check.isNotNull(),
+        F.concat(F.element_at(before, check), detail, F.element_at(after, check)),
+    )
+    return judged.select(*df.columns, reason.alias(out))
+
+
+# Fields whose JSON type matters, and those that are enumerations.
+_TYPED = ("value", "is_anomaly", "quality", "measurement_type", "metadata")
+_ENUMS = ("quality", "measurement_type")
+
+
+def _first_failure(body: str, contract: Contract) -> Column:
+    """Number of the first check an event fails; NULL if it passes all."""
+    value = F.col("_value_kind")
+    numbers = ["BIGINT", "DOUBLE"] + ["BOOLEAN"] * contract.bool_is_number
 
-    def kind(name: str) -> Column:
-        return _kind(F.try_variant_get(F.col(body), f"$.{name}", "variant"))
+    def in_enum(name: str, values: Iterable[str]) -> Column:
+        return (F.col(f"_{name}_kind") == "STRING") & F.col(f"_{name}").isin(*values)
+
+    failures = [
+        F.col(body).isNull(),
+        F.col("_root").isNotNull(),
+        F.size("_missing") > 0,
+        ~(value.isin(numbers) | value.startswith("DECIMAL")),
+        F.col("_is_anomaly_kind") != "BOOLEAN",
+        ~in_enum("quality", contract.qualities),
+        ~in_enum("measurement_type", contract.measurement_types),
+        ~F.col("_metadata_kind").startswith("OBJECT"),
+    ]
+    result = F.when(failures[0], 1)
+    for number, failed in enumerate(failures[1:], start=2):
+        result = result.when(failed, number)
+    return result
 
-    def content(name: str) -> Column:
-        return F.try_variant_get(F.col(body), f"$.{name}", "string")
 
-    def in_enum(name: str, values: Iterable[str]) -> Column:
-        return (kind(name) == "STRING") & content(name).isin(*values)
+def _missing_keys(contract: Contract) -> Column:
+    required = F.array(*[F.lit(k) for k in sorted(contract.required)])
+    return F.array_except(required, F.col("_keys"))
 
-    def shown(name: str) -> Column:
-        return (
-            F.when(kind(name) == "VOID", F.lit("None"))
-            .when(kind(name) == "BOOLEAN", F.initcap(content(name)))
-            .otherwise(content(name))
-        )
 
-    keys = F.json_object_keys(F.col(text))
-    required = F.array(*[F.lit(k) for k in contract.required])
-    missing = F.sort_array(F.array_except(required, keys))
-    whole = ["BIGINT", "DOUBLE"] + ["BOOLEAN"] * contract.bool_is_number
-    number = kind("value").isin(whole) | kind("value").startswith("DECIMAL")
-
-    checks = [
-        (F.col(body).isNull(), F.lit(MALFORMED)),
-        (
-            keys.isNull(),
-            _say("Evento deve ser dict, recebeu: ", _type_name(_kind(F.col(body)))),
-        ),
-        (
-            F.size(missing) > 0,
-            _say("Campos ausentes: ['", F.array_join(missing, "', '"), "']"),
-        ),
-        (~number, _say("'value' deve ser numérico, recebeu: ", _type_name(kind("value")))),
-        (
-            kind("is_anomaly") != "BOOLEAN",
-            _say("'is_anomaly' deve ser bool, recebeu: ", _type_name(kind("is_anomaly"))),
-        ),
-        (
-            ~in_enum("quality", contract.qualities),
-            _say(
-                "'quality' inválido: ",
-                shown("quality"),
-                f" (esperado: {quoted_list(contract.qualities)})",
-            ),
-        ),
-        (
-            ~in_enum("measurement_type", contract.measurement_types),
-            _say("'measurement_type' inválido: ", shown("measurement_type")),
-        ),
-        (
-            ~kind("metadata").startswith("OBJECT"),
-            F.lit("'metadata' deve ser um objeto JSON"),
-        ),
-    ]
-    return F.coalesce(*[F.when(broken, message) for broken, message in checks])
+def _field(body: str, name: str) -> Column:
+    return F.try_variant_get(F.col(body), f"$.{name}", "variant")
+
+
+def _content(body: str, name: str) -> Column:
+    return F.try_variant_get(F.col(body), f"$.{name}", "string")
 
 
 def _kind(body: Column) -> Column:
@@ -147,12 +178,16 @@ def _kind(body: Column) -> Column:
     return F.coalesce(F.schema_of_variant(body), F.lit("VOID"))
 
 
+def _shown(name: str) -> Column:
+    """A field's content the way reasons print it."""
+    kind, content = F.col(f"_{name}_kind"), F.col(f"_{name}")
+    return F.when(kind == "BOOLEAN", F.initcap(content)).otherwise(
+        F.coalesce(content, F.lit("None"))
+    )
+
+
 def _type_name(kind: Column) -> Column:
     """The name reasons use for a type: parameters dropped, then looked up."""
-    bare = F.substring_index(F.substring_index(kind, "(", 1), "<", 1)
+    bare = F.regexp_extract(kind, "^([A-Z]+)", 1)
     pairs = [F.lit(part) for item in TYPE_NAMES.items() for part in item]
     return F.coalesce(F.element_at(F.create_map(*pairs), bare), bare)
-
-
-def _say(*parts: Column | str) -> Column:
-    return F.concat(*[F.lit(p) if isinstance(p, str) else p for p in parts])

@@ -8,7 +8,7 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.streaming import StreamingQuery
 
-from millrace.functions.contract import Contract, reason
+from millrace.functions.contract import Contract, with_reason
 from millrace.session import session_conf
 from millrace.sources.events import BATCH_COLUMN, message_text
 from millrace.sources.plain import overwrite_partitions
@@ -38,7 +38,7 @@ def classify(messages: DataFrame, contract: Contract = Contract()) -> DataFrame:
     The text is parsed to a variant once; everything after reads the variant.
     """
     parsed = messages.select(*message_text()).withColumn("_event", F.try_parse_json("_text"))
-    judged = parsed.withColumn(REASON, reason("_event", "_text", contract))
+    judged = with_reason(parsed, "_event", "_text", contract, REASON)
     return judged.select(
         "_text",
         "_event",
@@ -69,43 +69,36 @@ def _to_variant(column: Column) -> Column:
     return F.coalesce(column.cast("variant"), F.parse_json(F.lit("null")))
 
 
-def _spliced_line(extra: dict[str, Column]) -> Column:
-    """The same for valid events: the new fields go before the closing brace.
+def valid_lines(classified: DataFrame) -> DataFrame:
+    """NDJSON line and partition columns of every valid event.
 
-    The event's text is kept as it came, which saves writing it anew. That
-    needs text of one line that has none of the new fields; other events are
-    written from their parsed form.
+    An event's own text is kept and the new fields go before its closing
+    brace, which saves writing it anew. That needs text of one line that has
+    none of the new fields; other events are written from their parsed form.
     """
-    fields = F.to_json(
-        F.struct(*[c.alias(k) for k, c in extra.items()]), {"ignoreNullFields": "false"}
+    now = F.date_format(F.current_timestamp(), "yyyy-MM-dd'T'HH:mm:ss.SSSSSS'Z'")
+    added = {
+        "_ingested_at": now,
+        "_kafka_offset": F.col("_kafka_offset"),
+        "_kafka_partition": F.col("_kafka_partition"),
+        "_kafka_topic": F.col("_kafka_topic"),
+        "_kafka_key": F.col("_kafka_key"),
+    }
+    as_json = F.to_json(
+        F.struct(*[c.alias(k) for k, c in added.items()]), {"ignoreNullFields": "false"}
     )
-    text = F.rtrim(F.col("_text"), F.lit(" \t\r\n"))
-    spliced = F.concat(
-        F.substring(text, F.lit(1), F.length(text) - 1),
-        F.lit(","),
-        F.substring(fields, F.lit(2), F.length(fields)),
+    # In projections of their own: each is used more than once below.
+    parts = classified.filter(F.col(REASON).isNull()).withColumns(
+        {"_trimmed": F.rtrim(F.col("_text"), F.lit(" \t\r\n")), "_added": as_json}
     )
-    reserved = F.array(*[F.lit(k) for k in extra])
-    plain = ~text.contains("\n") & ~text.contains("\r") & ~F.arrays_overlap(
-        F.json_object_keys("_text"), reserved
+    needs_writing = F.col("_trimmed").rlike("[\r\n]") | F.arrays_overlap(
+        F.json_object_keys("_text"), F.array(*[F.lit(k) for k in added])
     )
-    return F.when(plain, spliced).otherwise(_json_line(extra))
-
-
-def valid_lines(classified: DataFrame) -> DataFrame:
-    """NDJSON line and partition columns of every valid event."""
-    now = F.date_format(F.current_timestamp(), "yyyy-MM-dd'T'HH:mm:ss.SSSSSS'Z'")
-    line = _spliced_line(
-        {
-            "_ingested_at": now,
-            "_kafka_offset": F.col("_kafka_offset"),
-            "_kafka_partition": F.col("_kafka_partition"),
-            "_kafka_topic": F.col("_kafka_topic"),
-            "_kafka_key": F.col("_kafka_key"),
-        }
+    spliced = F.concat(
+        F.expr("left(_trimmed, length(_trimmed) - 1)"), F.lit(","), F.expr("substr(_added, 2)")
     )
-    valid = classified.filter(F.col(REASON).isNull())
-    return valid.select(line.alias("value"), *EVENT_PARTITIONS)
+    line = F.when(needs_writing, _json_line(added)).otherwise(spliced)
+    return parts.select(line.alias("value"), *EVENT_PARTITIONS)
 
 
 def dead_lines(classified: DataFrame) -> DataFrame:
