@@ -16,7 +16,7 @@ from millrace.functions.calendar import (
     month_name,
     run_date,
 )
-from millrace.functions.contract import MEASUREMENT_TYPES, QUALITIES
+from millrace.functions.contract import MEASUREMENT_TYPES, QUALITIES, REQUIRED_FIELDS
 from millrace.operators import quality as dq
 from millrace.operators.aggregates import (
     daily_anomalies,
@@ -38,7 +38,7 @@ from millrace.plans.bronze import STATUSES, status_as_text
 from millrace.plans.gold import equipment_dimension
 from millrace.plans.silver import DOCUMENTS, EQUIPMENT, NAMED
 from millrace.sources.documents import flatten_equipment
-from millrace.streaming.ingest import event_day
+from millrace.streaming.ingest import classify, event_day
 
 # -- projections ------------------------------------------------------------
 
@@ -131,8 +131,6 @@ def prj09(spark, d):
 )
 def prj12(spark, d):
     """Partition key of each message."""
-    from millrace.streaming.ingest import classify
-
     return classify(i.messages(spark, d)).select(
         F.col("_kafka_offset").alias("n"), "factory_id", "measurement_type", "dt"
     )
@@ -775,8 +773,6 @@ def set01(spark, d):
 )
 def set02(spark, d):
     """Required keys less the keys of each message (messages that are objects)."""
-    from millrace.functions.contract import REQUIRED_FIELDS
-
     keys = F.json_object_keys(F.col("value").cast("string"))
     required = F.array(*[F.lit(f) for f in REQUIRED_FIELDS])
     return (

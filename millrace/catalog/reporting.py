@@ -14,12 +14,12 @@ from millrace.catalog.registry import query
 from millrace.catalog.streams import _VALID
 from millrace.functions.calendar import run_date
 from millrace.operators.aggregates import daily_anomalies
-from millrace.operators.quality import complete, evaluate, non_negative
+from millrace.operators.columns import pick
+from millrace.operators.quality import QualityError, complete, evaluate, non_negative
 from millrace.plans import reports, silver
 from millrace.plans.gold import FACTORY_COLUMNS
 from millrace.plans.lake import Lake
 from millrace.plans.runner import find_table, run
-from millrace.operators.columns import pick
 from millrace.session import scratch_path
 from millrace.sources.documents import flatten_equipment
 from millrace.sources.plain import overwrite_partitions
@@ -224,8 +224,6 @@ def job05(spark, d):
     Equipment in an undeclared state stops the load of its table; the stored
     report says which rule broke and how often.
     """
-    from millrace.operators.quality import QualityError
-
     lake = _lake(spark, d)
     try:
         run(lake, find_table("bronze/postgres/equipamentos"), RUN)

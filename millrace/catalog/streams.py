@@ -10,6 +10,7 @@ from pyspark.sql import functions as F
 from millrace.catalog import inputs as i
 from millrace.catalog.registry import query
 from millrace.functions.contract import MALFORMED, MEASUREMENT_TYPES, REQUIRED_FIELDS, Contract
+from millrace.schemas import MESSAGE
 from millrace.session import scratch_path
 from millrace.sources.events import bronze_events, file_messages
 from millrace.streaming.ingest import (
@@ -25,6 +26,19 @@ from millrace.streaming.ingest import (
 )
 from millrace.streaming.windows import start_window_metrics, window_metrics
 
+
+
+def _topic(spark, d, files: int = 1) -> str:
+    """The messages as the files of a topic."""
+    path = scratch_path(spark, "topic")
+    i.messages(spark, d).repartition(files).write.parquet(path)
+    return path
+
+
+def _received(spark, d) -> DataFrame:
+    return spark.read.schema(MESSAGE).parquet(_topic(spark, d))
+
+
 # -- contract ---------------------------------------------------------------
 
 _REASONS = f'SELECT "offset", "partition", reason FROM ({i.SQL_MESSAGES})'
@@ -41,7 +55,7 @@ def _reasons(classified: DataFrame) -> DataFrame:
 @query("str01", _REASONS)
 def str01(spark, d):
     """The outcome of every message; NULL is valid."""
-    return _reasons(classify(i.messages(spark, d)))
+    return _reasons(classify(_received(spark, d)))
 
 
 def _one_check(name: str, start: str, also: str = "") -> None:
@@ -54,7 +68,7 @@ def _one_check(name: str, start: str, also: str = "") -> None:
         hit = F.lit(False)
         for s in starts:
             hit = hit | F.col("reason").startswith(s)
-        return _reasons(classify(i.messages(spark, d))).filter(hit)
+        return _reasons(classify(_received(spark, d))).filter(hit)
 
 
 _one_check("str01a", "Evento deve ser dict", MALFORMED)
@@ -91,7 +105,7 @@ STRICT_SCHEMA = json.dumps(
 def str02(spark, d):
     """A contract read from a JSON Schema: other enums, ``unit`` optional."""
     contract = Contract.from_json_schema(STRICT_SCHEMA)
-    return _reasons(classify(i.messages(spark, d), contract))
+    return _reasons(classify(_received(spark, d), contract))
 
 
 # -- enrichment and routing -------------------------------------------------
@@ -112,7 +126,7 @@ def _enriched(spark, d):
     def field(name: str, kind: str):
         return F.try_variant_get(body, f"$.{name}", kind).alias(name)
 
-    return valid_lines(classify(i.messages(spark, d))).select(
+    return valid_lines(classify(_received(spark, d))).select(
         field("event_id", "string"),
         field("_kafka_offset", "long"),
         field("_kafka_partition", "int"),
@@ -135,7 +149,7 @@ query("str03", _ENRICHED)(_enriched)
 def prj11(spark, d):
     """Rejected messages with reason and position, and no ingest stamp."""
     body = F.try_parse_json("value")
-    return dead_lines(classify(i.messages(spark, d))).select(
+    return dead_lines(classify(_received(spark, d))).select(
         F.try_variant_get(body, "$._dlq_reason", "string").alias("_dlq_reason"),
         F.try_variant_get(body, "$._kafka_offset", "long").alias("_kafka_offset"),
         F.try_variant_get(body, "$._kafka_partition", "int").alias("_kafka_partition"),
@@ -148,7 +162,7 @@ def prj11(spark, d):
     f"""SELECT reason IS NULL AS valida, count(*) AS mensagens FROM ({i.SQL_MESSAGES}) GROUP BY 1""",
 )
 def flt08(spark, d):
-    classified = classify(i.messages(spark, d))
+    classified = classify(_received(spark, d))
     return classified.groupBy(F.col("_dlq_reason").isNull().alias("valida")).agg(
         F.count(F.lit(1)).alias("mensagens")
     )
@@ -162,7 +176,7 @@ FROM ({_VALID}) WHERE is_anomaly"""
 
 @query("str08", _ALERTS)
 def str08(spark, d):
-    return anomaly_alerts(classify(i.messages(spark, d))).drop("timestamp")
+    return anomaly_alerts(classify(_received(spark, d))).drop("timestamp")
 
 
 @query(
@@ -172,7 +186,7 @@ def str08(spark, d):
         count(*) FILTER (reason IS NULL AND is_anomaly) AS anomalies FROM ({i.SQL_MESSAGES})""",
 )
 def agg11(spark, d):
-    return counters(classify(i.messages(spark, d))).drop("bytes")
+    return counters(classify(_received(spark, d))).drop("bytes")
 
 
 # -- written and read back --------------------------------------------------
@@ -204,7 +218,7 @@ def _written(spark, d, batches: int = 1) -> str:
     """Bronze of all messages, written as one batch (again on each replay)."""
     root = scratch_path(spark, "bronze-events")
     for _ in range(batches):
-        batch_writer(root)(classify(i.messages(spark, d)), 0)
+        batch_writer(root)(classify(_received(spark, d)), 0)
     return root
 
 
@@ -252,13 +266,6 @@ def str06(spark, d):
     return _shown(bronze_events(spark, _written(spark, d, batches=2)))
 
 
-def _topic(spark, d, files: int) -> str:
-    """The messages as the files of a stream."""
-    path = scratch_path(spark, "topic")
-    i.messages(spark, d).repartition(files).write.parquet(path)
-    return path
-
-
 def _ingested(spark, d, files: int = 2, per_batch: int | None = None) -> str:
     root = scratch_path(spark, "bronze-stream")
     source = file_messages(spark, _topic(spark, d, files), per_batch)

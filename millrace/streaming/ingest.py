@@ -209,19 +209,19 @@ def start_ingest(
     contract: Contract = Contract(),
     interval: str = "30 seconds",
     available_now: bool = False,
+    dry_run: bool = False,
 ) -> StreamingQuery:
     """Start the ingest of a streaming DataFrame of messages.
 
     ``available_now`` works off what is there and ends; otherwise a batch
     starts every ``interval``. Counters appear in the progress events under
-    the name ``ingest``.
+    the name ``ingest``. A dry run validates and counts, and writes nothing.
     """
     classified = classify(messages, contract).observe(OBSERVED, *counter_columns())
-    writer = (
-        classified.writeStream.queryName("bronze-events")
-        .option("checkpointLocation", checkpoint)
-        .foreachBatch(batch_writer(root))
+    writer = classified.writeStream.queryName("bronze-events").option(
+        "checkpointLocation", checkpoint
     )
+    writer = writer.format("noop") if dry_run else writer.foreachBatch(batch_writer(root))
     trigger = {"availableNow": True} if available_now else {"processingTime": interval}
     return writer.trigger(**trigger).start()
 

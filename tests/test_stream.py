@@ -271,3 +271,11 @@ def test_dead_letters_are_hidden_from_readers_of_the_parent(spark, tmp_path):
     batch_writer(str(tmp_path))(classify(messages(spark, [event(), "{bad"])), 0)
     assert "_dead_letter" in os.listdir(tmp_path)
     assert spark.read.text(str(tmp_path)).count() == 1
+
+
+def test_dry_run_counts_and_writes_nothing(spark, tmp_path):
+    messages(spark, [event(), "{bad"]).write.parquet(str(tmp_path / "in"))
+    query = ingest(spark, tmp_path / "in", tmp_path / "bronze", dry_run=True)
+    observed = query.recentProgress[0]["observedMetrics"]["ingest"]
+    assert (observed["received"], observed["invalid"]) == (2, 1)
+    assert not (tmp_path / "bronze").exists()
