@@ -5,12 +5,13 @@ from __future__ import annotations
 import datetime as dt
 from collections.abc import Iterable
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from millrace.schemas import BRONZE_EVENT, MESSAGE
 from millrace.sources.files import matching
 
+# Fixed value: the topic events arrive on.
 TOPIC = "iot-sensors-raw"
 BATCH_COLUMN = "_batch"
 
@@ -67,7 +68,7 @@ def bronze_events(
     return lines
 
 
-def message_text() -> "list":
+def message_text() -> list[Column]:
     """Columns of a message with key and value decoded as UTF-8."""
     return [
         F.col("value").cast("string").alias("_text"),
