@@ -164,7 +164,7 @@ def rmp07_worst(spark, d):
 
 @query(
     "rmp08",
-    f"""SELECT cast(timestamp_leitura AS date) AS data, r.sensor_id, e.id AS equipment_id,
+    f"""SELECT cast(timestamp_leitura AS date) AS data, r.sensor_id, s.equipamento_id AS equipment_id,
           e.fabrica_id AS factory_id, t.nome AS measurement_type, count(*) AS total_leituras,
           count(*) FILTER (is_anomalia) AS total_anomalias,
           count(*) FILTER (is_anomalia)::double / count(*) AS taxa_anomalia,

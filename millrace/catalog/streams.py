@@ -283,7 +283,7 @@ def brz10(spark, d):
 @query("str05", _BRONZE)
 def str05(spark, d):
     """The same in several micro-batches."""
-    return _shown(bronze_events(spark, _ingested(spark, d, files=3, per_batch=1)))
+    return _shown(bronze_events(spark, _ingested(spark, d, files=2, per_batch=1)))
 
 
 @query(
