@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from millrace.catalog import inputs as i
@@ -20,6 +21,7 @@ from millrace.plans import reports, silver
 from millrace.plans.gold import FACTORY_COLUMNS
 from millrace.plans.lake import Lake
 from millrace.plans.runner import find_table, run
+from millrace.plans.spec import TableSpec
 from millrace.session import scratch_path
 from millrace.sources.documents import flatten_equipment
 from millrace.sources.plain import overwrite_partitions
@@ -264,3 +266,59 @@ def job06(spark, d):
 def job07(spark, d):
     """A run date loaded twice gives the same table."""
     return _day_run(spark, d, 2)
+
+
+def _loaded(lake: Lake, path: str, df: DataFrame, keys: tuple[str, ...] = ()) -> DataFrame:
+    """A table of no declared rules, loaded with ``df`` and read back."""
+    run(lake, TableSpec(path, lambda *_: df, keys=keys), RUN)
+    return lake.read(path)
+
+
+@query("dq07", "SELECT * FROM part")
+def dq07(spark, d):
+    """A table without rules is loaded, with a warning in the log."""
+    stored = _loaded(_lake(spark, d), "silver/plant/part", i.table(spark, d, "part"), ("p_partkey",))
+    return stored.drop("_execution_date", "_processed_at", "_data_source")
+
+
+@query(
+    "job03",
+    """SELECT 'hmg' AS ambiente, count(*) AS linhas FROM supplier
+       UNION ALL SELECT 'prd', count(*) FROM customer""",
+)
+def job03(spark, d):
+    """One table path in two environments: two tables."""
+    root = scratch_path(spark, "environments")
+    held = {"hmg": "supplier", "prd": "customer"}
+    lakes = {name: Lake(spark, root, name) for name in held}
+    for name, content in held.items():
+        _loaded(lakes[name], "silver/plant/sensores", i.table(spark, d, content))
+    counts = [
+        lake.read("silver/plant/sensores").agg(
+            F.lit(name).alias("ambiente"), F.count(F.lit(1)).alias("linhas")
+        )
+        for name, lake in lakes.items()
+    ]
+    return counts[0].unionByName(counts[1])
+
+
+@query("job04", "SELECT 'plant' AS _data_source, count(*) AS linhas FROM orders")
+def job04(spark, d):
+    """Layer, source and name come from the end of a path; the source is stamped."""
+    stored = _loaded(_lake(spark, d), "/any/folder/silver/plant/orders/", i.table(spark, d, "orders"))
+    return stored.groupBy("_data_source").agg(F.count(F.lit(1)).alias("linhas"))
+
+
+@query(
+    "str09",
+    f"""SELECT equipment_id AS chave, count(*) AS mensagens, min(n) AS primeira, max(n) AS ultima
+        FROM ({i.SQL_EVENTS}) GROUP BY 1""",
+)
+def str09(spark, d):
+    """Messages are keyed by equipment: what each key carries."""
+    m = i.messages(spark, d).groupBy(F.col("key").cast("string").alias("chave"))
+    return m.agg(
+        F.count(F.lit(1)).alias("mensagens"),
+        F.min("offset").alias("primeira"),
+        F.max("offset").alias("ultima"),
+    )

@@ -97,6 +97,7 @@ def with_reason(
         }
     )
     judged = looked_at.withColumn("_check", _first_failure(body, contract))
+    # The text of each reason, before and after its detail.
     texts = [
         (MALFORMED, ""),
         ("Evento deve ser dict, recebeu: ", ""),

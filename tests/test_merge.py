@@ -10,6 +10,7 @@ from pyspark.sql import functions as F
 
 from conftest import rows
 from millrace.operators.merge import ROW_HASH, replace_date, row_hash, upsert
+from millrace.session import session_conf
 from millrace.sources.tables import SnapshotTable
 
 SCHEMA = "k int, v string, _execution_date date"
@@ -214,3 +215,17 @@ def test_vacuum_keeps_what_is_used(spark, tmp_path):
     stale = table.vacuum(keep=1)
     assert len(stale) == 4
     assert rows(table.read(), "k") == [(k, v, day(d)) for k, v, d in MERGED]
+
+
+def test_hot_partition_is_written_by_several_tasks(spark, tmp_path):
+    """A partition with nearly all rows does not fall to one task."""
+    settings = {"spark.sql.adaptive.advisoryPartitionSizeInBytes": "1m"}
+    rows_ = spark.range(0, 200000, 1, 8).select(
+        "id", F.sha2(F.col("id").cast("string"), 256).alias("v"),
+        F.when(F.col("id") % 50 == 0, "cold").otherwise("hot").alias("p"),
+    )
+    with session_conf(spark, settings):
+        table = stored(spark, tmp_path, rows_, ["p"])
+    files = {p: len(table.read({"p": p}).inputFiles()) for p in ("hot", "cold")}
+    assert files["hot"] > 3 and files["cold"] == 1
+    assert table.read().count() == 200000
