@@ -25,10 +25,19 @@ from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 #: Rows a language's dictionary is drawn from, and characters taken of each, at most.
-SAMPLE_ROWS, SAMPLE_CHARS = 64, 1500
+SAMPLE_ROWS, SAMPLE_CHARS = 256, 1500
 #: Bytes of a dictionary at most, and of a chunk.
-DICTIONARY_BYTES, CHUNK_BYTES = 96 << 10, 512
-LEVEL = 3
+DICTIONARY_BYTES, CHUNK_BYTES = 64 << 10, 1024
+#: Short matches tell languages apart: compression searches for three bytes or more.
+SEARCH = {
+    "window_log": 17,
+    "chain_log": 16,
+    "hash_log": 16,
+    "search_log": 3,
+    "min_match": 3,
+    "target_length": 16,
+    "strategy": zstandard.STRATEGY_GREEDY,
+}
 #: A text is rejected if the runner-up needs less than this share more, or so few bytes more.
 LEAST_SHARE, LEAST_BYTES = 0.005, 1
 UNKNOWN = "und"
@@ -81,9 +90,11 @@ def compressors(models: tuple[tuple[str, bytes], ...]) -> list[tuple[str, zstand
     made = []
     for name, content in models:
         data = zstandard.ZstdCompressionDict(content, dict_type=zstandard.DICT_TYPE_RAWCONTENT)
-        data.precompute_compress(level=LEVEL)
-        options = {"write_content_size": False, "write_checksum": False, "write_dict_id": False}
-        made.append((name, zstandard.ZstdCompressor(dict_data=data, level=LEVEL, **options)))
+        options = zstandard.ZstdCompressionParameters(
+            **SEARCH, write_content_size=False, write_dict_id=False
+        )
+        data.precompute_compress(compression_params=options)
+        made.append((name, zstandard.ZstdCompressor(dict_data=data, compression_params=options)))
     return made
 
 
