@@ -8,7 +8,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from millrace.llm import chat, language, packing, url_rules
+from millrace.llm import chat, decontaminate, language, packing, secret_scan, url_rules
 from millrace.llm.tables import read
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -148,3 +148,72 @@ def identified(spark: SparkSession, folder: str) -> DataFrame:
     return found.select(
         "doc_id", (fold("doc_id", 5) == 0).alias("held_out"), "lang_pred", "score", "rejected"
     )
+
+
+@query("op1_decontamination")
+def leaks(spark: SparkSession, folder: str) -> DataFrame:
+    """Documents that hold passages of the benchmark, with the items."""
+    return decontaminate.overlaps(read(spark, folder, "documents"), read(spark, folder, "benchmark"))
+
+
+def secrets_sql() -> str:
+    """Spans of every rule by splitting texts at its matches."""
+    parts = []
+    for rank, rule in enumerate(secret_scan.RULES):
+        regex = rule.regex.replace("'", "''")
+        # RE2 has no upper bound over 1000, and takes the same syntax otherwise
+        parts.append(
+            f"""SELECT key, doc_id, {rank} AS rank, '{rule.kind}' AS kind,
+                string_split_regex(text, '{regex}') AS gaps,
+                regexp_extract_all(text, '{regex}', 0) AS whole,
+                regexp_extract_all(text, '{regex}', {rule.group}) AS measured,
+                {rule.least} AS least
+            FROM docs"""
+        )
+    return f"""
+    WITH docs AS (
+        SELECT row_number() OVER () AS key, doc_id, coalesce(text, '') AS text FROM documents),
+    found AS ({" UNION ALL ".join(parts)}),
+    placed AS (
+        SELECT key, rank, kind, least, gaps, whole, measured, unnest(range(1, len(whole) + 1)) AS n
+        FROM found),
+    spans AS (
+        SELECT key, rank, kind,
+            CAST(list_sum([length(g) FOR g IN gaps[1:n]])
+                + coalesce(list_sum([length(w) FOR w IN whole[1:n - 1]]), 0) AS BIGINT) AS start,
+            length(whole[n]) AS size
+        FROM placed WHERE length(measured[n]) >= least),
+    joined AS (
+        SELECT key,
+            count(*) FILTER (kind = 'assign') AS n_assign,
+            count(*) FILTER (kind = 'access') AS n_access,
+            count(*) FILTER (kind = 'hex') AS n_hex,
+            string_agg(kind || ':' || start || ':' || (start + size), ',' ORDER BY start, rank)
+                FILTER (rank < {len(secret_scan.BASE)}) AS base,
+            string_agg(kind || ':' || start || ':' || (start + size), ',' ORDER BY start, rank)
+                AS spans
+        FROM spans GROUP BY key)
+    SELECT doc_id, coalesce(n_assign, 0) AS n_assign, coalesce(n_access, 0) AS n_access,
+        coalesce(n_hex, 0) AS n_hex, sha256(coalesce(base, '')) AS base_sha256,
+        coalesce(spans, '') AS spans
+    FROM docs LEFT JOIN joined USING (key)
+    """
+
+
+@query("op6_secrets", secrets_sql())
+def secrets(spark: SparkSession, folder: str) -> DataFrame:
+    """The secrets of every document."""
+    docs = read(spark, folder, "documents").select("doc_id", "text")
+    found = secret_scan.scan(docs, spans="found").select("doc_id", "found")
+
+    def of_rank(number: int):
+        return F.size(F.filter("found", lambda s: s["rank"] == number)).cast("long")
+
+    count = {f"n_{rule.kind}": of_rank(n) for n, rule in enumerate(secret_scan.BASE)}
+    base = F.filter("found", lambda s: s["rank"] < len(secret_scan.BASE))
+    return found.select(
+        "doc_id",
+        *(column.alias(name) for name, column in count.items()),
+        F.sha2(secret_scan.listed(base).cast("binary"), 256).alias("base_sha256"),
+        secret_scan.listed(F.col("found")).alias("spans"),
+    )
