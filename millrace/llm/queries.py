@@ -8,7 +8,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from millrace.llm import chat, decontaminate, language, packing, secret_scan, url_rules
+from millrace.llm import chat, decontaminate, jaccard_join, language, packing, secret_scan, url_rules
 from millrace.llm.tables import read
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -217,3 +217,9 @@ def secrets(spark: SparkSession, folder: str) -> DataFrame:
         F.sha2(secret_scan.listed(base).cast("binary"), 256).alias("base_sha256"),
         secret_scan.listed(F.col("found")).alias("spans"),
     )
+
+
+@query("op2_jaccard")
+def near_duplicates(spark: SparkSession, folder: str) -> DataFrame:
+    """The near-duplicate component of every document."""
+    return jaccard_join.components(read(spark, folder, "documents"))
