@@ -8,7 +8,17 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from millrace.llm import chat, decontaminate, jaccard_join, language, packing, secret_scan, url_rules
+from millrace.llm import (
+    chat,
+    decontaminate,
+    jaccard_join,
+    language,
+    lm,
+    packing,
+    secret_scan,
+    toxicity,
+    url_rules,
+)
 from millrace.llm.tables import read
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -223,3 +233,34 @@ def secrets(spark: SparkSession, folder: str) -> DataFrame:
 def near_duplicates(spark: SparkSession, folder: str) -> DataFrame:
     """The near-duplicate component of every document."""
     return jaccard_join.components(read(spark, folder, "documents"))
+
+
+@query("op7_lm")
+def lm_scores(spark: SparkSession, folder: str) -> DataFrame:
+    """Every document's log probability, learned from nine of ten folds."""
+    docs = read(spark, folder, "documents")
+    model = lm.train(docs.where(fold("doc_id", 10) != 0))
+    return lm.score(docs, model).select(
+        "doc_id",
+        (fold("doc_id", 10) == 0).alias("held_out"),
+        "n_tokens",
+        "n_known",
+        F.lit(model.tokens).cast("long").alias("train_tokens"),
+        "base_score",
+        "score",
+    )
+
+
+@query("op9_toxicity")
+def toxic(spark: SparkSession, folder: str) -> DataFrame:
+    """The toxicity of every document, learned from three of four folds."""
+    docs = read(spark, folder, "documents")
+    labels = read(spark, folder, "labels").select("doc_id", "toxic").where(fold("doc_id", 4) != 2)
+    found = toxicity.score(docs, toxicity.train(docs, labels))
+    return found.select(
+        "doc_id",
+        (fold("doc_id", 4) == 2).alias("held_out"),
+        "score",
+        (F.col("score") >= 0.3).cast("int").alias("predicted"),
+        "passages",
+    )

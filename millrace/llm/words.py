@@ -56,16 +56,19 @@ def contents(texts: pa.Array) -> tuple[np.ndarray, np.ndarray]:
     return data[at[0] : at[-1]], at - at[0]
 
 
-def word_hashes(texts: pa.Array) -> tuple[np.ndarray, np.ndarray]:
-    """The hash of every word of every text, and the number of its text.
+def word_hashes(
+    texts: pa.Array, gaps: np.ndarray = SPACES, heads: tuple[int, ...] = ()
+) -> tuple[np.ndarray, ...]:
+    """The hash of every word of every text, the number of its text, and of its heads.
 
-    Words are runs of bytes other than the six white-space characters of
-    ASCII, with A-Z in lower case.
+    Words are runs of bytes that are no ``gaps`` (by default the six
+    white-space characters of ASCII), with A-Z in lower case. A head is the
+    word's first so many bytes; of a shorter word it is the whole.
     """
     data, at = contents(texts)
     if not len(data):
-        return np.zeros(0, np.uint64), np.zeros(0, np.int64)
-    inside = ~SPACES[data]
+        return np.zeros(0, np.uint64), np.zeros(0, np.int64), *(np.zeros(0, np.uint64) for _ in heads)
+    inside = ~gaps[data]
     first = inside.copy()
     first[1:] &= ~inside[:-1]
     begins = at[:-1][at[:-1] < len(data)]
@@ -74,7 +77,7 @@ def word_hashes(texts: pa.Array) -> tuple[np.ndarray, np.ndarray]:
     last[:-1] = inside[:-1] & (~inside[1:] | first[1:])
     last[-1] = inside[-1]
     starts, ends = np.flatnonzero(first), np.flatnonzero(last) + 1
-    hashes = np.empty(len(starts), np.uint64)
+    hashes = np.empty((1 + len(heads), len(starts)), np.uint64)
     done = 0
     while done < len(starts):
         to = max(done + 1, int(np.searchsorted(starts, starts[done] + SEGMENT)))
@@ -84,6 +87,9 @@ def word_hashes(texts: pa.Array) -> tuple[np.ndarray, np.ndarray]:
         sums = np.zeros(size + 1, np.uint64)
         np.cumsum(letters()[data[low:high]] * up[:size], out=sums[1:])
         own, end = starts[done:to] - low, ends[done:to] - low
-        hashes[done:to] = (sums[end] - sums[own]) * down[own]
+        hashes[0, done:to] = (sums[end] - sums[own]) * down[own]
+        for n, head in enumerate(heads, 1):
+            hashes[n, done:to] = (sums[np.minimum(own + head, end)] - sums[own]) * down[own]
         done = to
-    return mixed(hashes), np.searchsorted(at, starts, side="right") - 1
+    whole, *parts = mixed(hashes)
+    return whole, np.searchsorted(at, starts, side="right") - 1, *parts
