@@ -9,6 +9,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from millrace.llm import (
+    ann,
     chat,
     decontaminate,
     jaccard_join,
@@ -264,3 +265,10 @@ def toxic(spark: SparkSession, folder: str) -> DataFrame:
         (F.col("score") >= 0.3).cast("int").alias("predicted"),
         "passages",
     )
+
+
+@query("op8_neighbours")
+def neighbours(spark: SparkSession, folder: str) -> DataFrame:
+    """The ten nearest neighbours found of every hundredth vector."""
+    vectors = read(spark, folder, "embeddings").select("vec_id", "embedding")
+    return ann.search(vectors, vectors.where(F.col("vec_id") % 100 == 0))
