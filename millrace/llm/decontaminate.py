@@ -140,12 +140,14 @@ def overlaps(
                 "doc_id",
                 "item_id",
                 overlap(F.col("item"), F.col("words"), F.col("at") - F.col("item_at")).alias("best"),
-            ).where(F.col("best.agree") >= AGREEMENT * F.col("best.of"))
+            )
         )
+    # Filtered only now: before, Spark would verify inside the join, outside generated code.
     return (
         reduce(DataFrame.unionByName, found)
         .groupBy("doc_id", "item_id")
         .agg(F.max("best").alias("best"))
+        .where(F.col("best.agree") >= AGREEMENT * F.col("best.of"))
         .select("doc_id", "item_id", "best.agree", F.col("best.of").alias("window"), "best.start")
     )
 
