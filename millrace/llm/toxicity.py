@@ -3,7 +3,9 @@
 A token is a word; its features are the word itself and its first few bytes,
 so that compounds share evidence. For every feature, hashed to a bounded number
 of buckets, the log-odds between toxic and other texts are estimated with an
-informative Dirichlet prior, and lowered by their standard error. A token
+informative Dirichlet prior, and lowered by their standard error. A text
+counts once for each of its features, and of texts that share their smallest
+hash of three words, which are copies in the main, one is counted. A token
 scores the most that any of its features is surely worth; a token without
 evidence costs a fixed amount, so that chance segments of clean text score
 below zero on average.
@@ -13,7 +15,8 @@ extreme-value law of such scores, a segment of score S in a text of n tokens is
 worth lambda S - ln(K n): lambda solves the moment equation over clean tokens,
 K follows from the clean texts' best scores. Segments worth more than
 ``SIGNIFICANT`` are toxic passages. A text's score is a logistic function of
-what they are worth together, fitted on texts whose tokens were not counted.
+what they are worth together, fitted on either half of the labelled texts with
+weights from the other.
 
 Defined results: null and empty texts have no passages and get the score of
 none; without labelled rows of both kinds every score is the share of toxic
@@ -33,17 +36,18 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from millrace.llm.tables import slices
-from millrace.llm.words import word_hashes
+from millrace.llm.tables import saved, slices
+from millrace.llm.words import mixed, word_hashes
+from millrace.session import scratch_path
 
 #: Labelled rows the model is fitted on, at most: those whose ids hash lowest.
 SAMPLE_ROWS = 20_000
 #: Buckets of features, a power of two; bytes of a word's heads.
-BUCKETS, HEADS = 1 << 20, (4, 5, 6, 8)
-#: Weight of the prior in tokens, and standard errors taken off.
-PRIOR, ERRORS = 500.0, 2.0
+BUCKETS, HEADS = 1 << 22, (4, 5, 6, 8)
+#: Weight of the prior as a share of all counts, and standard errors taken off.
+PRIOR, ERRORS = 0.1, 1.5
 #: What a token without evidence costs, and what a segment must be worth.
-COST, SIGNIFICANT = 0.25, 3.0
+COST, SIGNIFICANT = 0.25, 1.0
 EULER = 0.5772156649
 GAPS = np.ones(256, bool)
 GAPS[[*range(48, 58), *range(65, 91), *range(97, 123), *range(128, 256)]] = False
@@ -93,18 +97,12 @@ def segments(scores: np.ndarray) -> list[tuple[int, int, float]]:
     return [(start, end, high - low) for start, end, low, high, _ in stack]
 
 
-def token_scores(buckets: np.ndarray, weights: np.ndarray) -> np.ndarray:
-    best = weights[buckets].max(axis=0)
-    return np.where(best > 0, best, -COST)
-
-
-def passages(texts: pa.Array, weights: np.ndarray) -> Iterator[tuple[int, list]]:
-    """Tokens and maximal segments of each text."""
-    buckets, doc = features(texts)
-    scores = token_scores(buckets, weights) if len(doc) else np.zeros(0)
-    edges = np.searchsorted(doc, np.arange(len(texts) + 1))
-    for start, end in zip(edges[:-1], edges[1:]):
-        yield int(end - start), segments(scores[start:end])
+def judged(buckets: np.ndarray, weights: np.ndarray) -> list[tuple[int, int, float]]:
+    """The maximal segments of a text, from its tokens' features."""
+    if not buckets.shape[1]:
+        return []
+    best = weights[buckets].max(axis=0).astype(np.float64)
+    return segments(np.where(best > 0, best, -COST))
 
 
 def worth(tokens: int, found: list, scale: float, factor: float) -> list[float]:
@@ -117,14 +115,11 @@ def together(values: list[float]) -> float:
 
 
 def sample(docs: DataFrame, labels: DataFrame, doc_id: str, text: str) -> DataFrame:
-    """toxic, held and text of a bounded sample of the labelled documents.
-
-    ``held`` rows are not counted but used for calibration.
-    """
+    """doc_id, toxic, half (0 or 1) and text of a bounded sample of the labelled documents."""
     chosen = (
         labels.where("doc_id is not null and toxic is not null")
         .groupBy("doc_id")
-        .agg(F.max("toxic").alias("toxic"))
+        .agg((F.max("toxic") > 0).alias("toxic"))
         .orderBy(F.xxhash64("doc_id"), "doc_id")
         .limit(SAMPLE_ROWS)
     )  # SAMPLE_ROWS short rows, which bounds the broadcast
@@ -132,36 +127,57 @@ def sample(docs: DataFrame, labels: DataFrame, doc_id: str, text: str) -> DataFr
         F.col(doc_id).cast("long").alias("doc_id"),
         F.coalesce(F.col(text).cast("string"), F.lit("")).alias("text"),
     )
-    return texts.join(F.broadcast(chosen), "doc_id").select(
-        (F.col("toxic") > 0).alias("toxic"), (F.pmod(F.xxhash64("doc_id", F.lit(1)), F.lit(3)) == 0).alias("held"), "text"
-    )
+    half = F.pmod(F.xxhash64("doc_id", F.lit(1)), F.lit(2)).cast("int")
+    return texts.join(F.broadcast(chosen), "doc_id").select("doc_id", "toxic", half.alias("half"), "text")
+
+
+def by_text(batch: pa.RecordBatch) -> Iterator[np.ndarray]:
+    """The features of each text of a batch."""
+    buckets, doc = features(batch.column("text"))
+    edges = np.searchsorted(doc, np.arange(batch.num_rows + 1))
+    for start, end in zip(edges[:-1], edges[1:]):
+        yield buckets[:, start:end]
+
+
+def copies(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """doc_id and the smallest hash of three words in a row; texts with fewer have none."""
+    for batch in slices(batches, "text"):
+        keys = []
+        for own in by_text(batch):
+            words = own[0].astype(np.uint64)
+            runs = mixed((words[:-2] << np.uint64(42)) ^ (words[1:-1] << np.uint64(21)) ^ words[2:])
+            keys.append(int(runs.min() >> np.uint64(1)) if len(runs) else None)
+        yield pa.RecordBatch.from_arrays(
+            [batch.column("doc_id"), pa.array(keys, pa.int64())], ["doc_id", "key"]
+        )
+
+
+COUNTS = ("toxic0", "other0", "toxic1", "other1")
 
 
 def count(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    """Tokens by bucket, of toxic and of other texts that are not held back."""
-    totals = np.zeros((2, BUCKETS), np.int64)
+    """Texts that have a feature, by bucket, half and label."""
+    totals = np.zeros((4, BUCKETS), np.int32)
     for batch in slices(batches, "text"):
-        buckets, doc = features(batch.column("text"))
-        toxic = batch.column("toxic").to_numpy(zero_copy_only=False)[doc]
-        used = ~batch.column("held").to_numpy(zero_copy_only=False)[doc]
-        for kind in (0, 1):
-            own = buckets[:, used & (toxic == bool(kind))].reshape(-1)
-            totals[kind] += np.bincount(own, minlength=BUCKETS)
+        kinds = zip(batch.column("half").to_pylist(), batch.column("toxic").to_pylist())
+        for own, (half, toxic) in zip(by_text(batch), kinds):
+            totals[2 * half + (not toxic), np.unique(own)] += 1
     some = np.flatnonzero(totals.any(axis=0))
     yield pa.RecordBatch.from_arrays(
-        [pa.array(some), pa.array(totals[1, some]), pa.array(totals[0, some])], ["bucket", "toxic", "other"]
+        [pa.array(some), *(pa.array(row[some].astype(np.int64)) for row in totals)],
+        ["bucket", *COUNTS],
     )
 
 
 def log_odds(toxic: np.ndarray, other: np.ndarray) -> np.ndarray:
     """Log-odds of features with an informative Dirichlet prior, less their standard error."""
-    prior = PRIOR * (toxic + other) / max((toxic + other).sum(), 1)
+    prior = PRIOR * (toxic + other)
     mine, theirs = toxic + prior, other + prior
     used = toxic + other > 0
     mine, theirs = np.where(used, mine, 1.0), np.where(used, theirs, 1.0)
     ratio = np.log(mine / (mine.sum() - mine)) - np.log(theirs / (theirs.sum() - theirs))
     sure = ratio - ERRORS * np.sqrt(1 / mine + 1 / theirs)
-    return np.where(used & (sure > 0), sure, 0.0)
+    return np.where(used & (sure > 0), sure, 0.0).astype(np.float32)
 
 
 def scale_of(clean: np.ndarray) -> float:
@@ -195,26 +211,35 @@ def train(
     docs: DataFrame, labels: DataFrame, doc_id: str = "doc_id", text: str = "text"
 ) -> Model:
     """A model from ``labels`` (doc_id and toxic) of ``docs``."""
-    rows = sample(docs, labels, doc_id, text)
+    spark = docs.sparkSession
+    rows = saved(sample(docs, labels, doc_id, text), scratch_path(spark, "toxicity"))
     shares = rows.agg(F.count("*"), F.sum(F.col("toxic").cast("int"))).first()
     if not shares[0] or not shares[1] or shares[0] == shares[1]:
-        return Model(np.zeros(BUCKETS), 1.0, 1.0, 0.0, 0.0, (shares[1] or 0) / max(shares[0], 1))
+        nothing = np.zeros(BUCKETS, np.float32)
+        return Model(nothing, 1.0, 1.0, 0.0, 0.0, (shares[1] or 0) / max(shares[0], 1))
+    keyed = rows.select("doc_id", "text").mapInArrow(copies, "doc_id long, key long")
+    one_each = keyed.where("key is not null").groupBy("key").agg(F.min("doc_id").alias("doc_id"))
     counted = (
-        rows.mapInArrow(count, "bucket long, toxic long, other long")
+        rows.join(F.broadcast(one_each.select("doc_id").distinct()), "doc_id")  # of SAMPLE_ROWS
+        .select("toxic", "half", "text")
+        .mapInArrow(count, "bucket long, " + ", ".join(f"{name} long" for name in COUNTS))
         .groupBy("bucket")
-        .agg(F.sum("toxic").alias("toxic"), F.sum("other").alias("other"))
+        .agg(*(F.sum(name).alias(name) for name in COUNTS))
         .toArrow()
     )  # BUCKETS rows at most
-    totals = np.zeros((2, BUCKETS))
+    totals = np.zeros((4, BUCKETS))
     at = counted.column("bucket").to_numpy()
-    for n, name in enumerate(("toxic", "other")):
+    for n, name in enumerate(COUNTS):
         totals[n, at] = counted.column(name).to_numpy()
-    weights = log_odds(*totals)
-    shared = docs.sparkSession.sparkContext.broadcast(weights)
+    weights = log_odds(totals[0] + totals[2], totals[1] + totals[3])
+    # texts of one half are judged by the other
+    shared = spark.sparkContext.broadcast((log_odds(totals[2], totals[3]), log_odds(totals[0], totals[1])))
 
     def found(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in slices(batches, "text"):
-            rows = list(passages(batch.column("text"), shared.value))
+            rows = []
+            for own, half in zip(by_text(batch), batch.column("half").to_pylist()):
+                rows.append((own.shape[1], judged(own, shared.value[half])))
             yield pa.RecordBatch.from_arrays(
                 [
                     batch.column("toxic"),
@@ -225,9 +250,9 @@ def train(
                 ["toxic", "tokens", "inside", "scores"],
             )
 
-    seen = rows.where("held").mapInArrow(
+    seen = rows.select("toxic", "half", "text").mapInArrow(
         found, "toxic boolean, tokens long, inside long, scores array<double>"
-    ).collect()  # a third of SAMPLE_ROWS
+    ).collect()  # SAMPLE_ROWS at most
     clean = [r for r in seen if not r["toxic"]]
     # One unseen token of the mean weight keeps lambda finite where clean text has no evidence at all.
     hits = [s for r in clean for s in r["scores"]] + [float(weights[weights > 0].mean()) if (weights > 0).any() else 1.0]
@@ -251,7 +276,8 @@ def score(docs: DataFrame, model: Model, doc_id: str = "doc_id", text: str = "te
         kind = pa.list_(pa.struct([("start", pa.int32()), ("end", pa.int32()), ("worth", pa.float64())]))
         for batch in slices(batches, "text"):
             scores, shown = [], []
-            for tokens, found in passages(batch.column(1), own.weights):
+            for buckets in by_text(batch):
+                tokens, found = buckets.shape[1], judged(buckets, own.weights)
                 values = worth(tokens, found, own.scale, own.factor)
                 shown.append(
                     [
