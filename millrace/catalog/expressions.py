@@ -125,7 +125,7 @@ def prj09(spark, d):
 @query(
     "prj12",
     f"""SELECT n, CASE WHEN k < 2 THEN 'UNKNOWN' ELSE factory_id END AS factory_id,
-        CASE WHEN k < 2 THEN 'UNKNOWN' WHEN k = 9 THEN 'xyz' ELSE measurement_type END
+        CASE WHEN k < 2 THEN 'UNKNOWN' WHEN k = 9 THEN 'torque' ELSE measurement_type END
           AS measurement_type,
         CASE WHEN k < 2 THEN current_date ELSE dt END AS dt FROM ({i.SQL_MESSAGES})""",
 )
@@ -506,7 +506,7 @@ def fn14(spark, d):
     """Day of an ISO timestamp in its own offset; today if it does not parse."""
     day = F.date_format("o_orderdate", "yyyy-MM-dd")
     text = (
-        F.when(F.col("o_orderstatus") == "P", "not-a-date")
+        F.when(F.col("o_orderstatus") == "P", "31/12")
         .when(F.col("o_orderstatus") == "O", F.concat(day, F.lit("T23:30:00-03:00")))
         .otherwise(F.concat(day, F.lit("T00:30:00Z")))
     )
@@ -572,8 +572,12 @@ def _windows(spark, d):
 def job02(spark, d):
     """Run dates given as text, back to dates."""
     o = i.table(spark, d, "orders")
-    text = F.date_format("o_orderdate", "yyyy-MM-dd")
-    return o.select("o_orderkey", F.to_date(text, "yyyy-MM-dd").alias("data"))
+    given = o.select(F.date_format("o_orderdate", "yyyy-MM-dd").alias("texto")).distinct()
+    # As many rows as there are run dates.
+    days = [(row["texto"], run_date(row["texto"])) for row in given.collect()]
+    known = spark.createDataFrame(days, "texto string, data date")
+    dated = o.withColumn("texto", F.date_format("o_orderdate", "yyyy-MM-dd"))
+    return dated.join(known, "texto").select("o_orderkey", "data")
 
 
 # -- data quality -----------------------------------------------------------

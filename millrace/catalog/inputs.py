@@ -142,7 +142,7 @@ def messages(spark: SparkSession, folder: str) -> DataFrame:
         pair("factory_id", quoted("factory_id")),
         pair(
             "measurement_type",
-            F.when(k == 9, F.lit('"xyz"')).otherwise(quoted("measurement_type")),
+            F.when(k == 9, F.lit('"torque"')).otherwise(quoted("measurement_type")),
         ),
         pair(
             "value",
@@ -151,7 +151,7 @@ def messages(spark: SparkSession, folder: str) -> DataFrame:
         F.when(k != 3, pair("unit", quoted("unit"))),
         pair(
             "timestamp",
-            F.when(k == 13, F.lit('"not-a-date"')).otherwise(
+            F.when(k == 13, F.lit('"31/12"')).otherwise(
                 F.concat(
                     F.lit('"'), wall, F.when(k == 14, F.lit("-03:00")).otherwise(""), F.lit('"')
                 )
@@ -159,13 +159,13 @@ def messages(spark: SparkSession, folder: str) -> DataFrame:
         ),
         pair(
             "quality",
-            F.when(k.isin(3, 7), F.lit('"excellent"'))
+            F.when(k.isin(3, 7), F.lit('"otima"'))
             .when(k == 8, F.lit("null"))
             .otherwise(quoted("quality")),
         ),
         pair(
             "is_anomaly",
-            F.when(k == 6, F.lit('"yes"')).otherwise(F.col("is_anomaly").cast("string")),
+            F.when(k == 6, F.lit('"sim"')).otherwise(F.col("is_anomaly").cast("string")),
         ),
         pair(
             "metadata",
@@ -182,7 +182,7 @@ def messages(spark: SparkSession, folder: str) -> DataFrame:
     ]
     text = (
         F.when(k == 0, F.lit("{bad"))
-        .when(k == 1, F.lit('"not-a-dict"'))
+        .when(k == 1, F.lit('"so texto"'))
         .otherwise(F.concat(F.lit("{"), F.concat_ws(",", *fields), F.lit("}")))
     )
     return e.select(
@@ -206,9 +206,9 @@ SELECT *,
     WHEN 4 THEN '''value'' deve ser numérico, recebeu: str'
     WHEN 5 THEN '''value'' deve ser numérico, recebeu: bool'
     WHEN 6 THEN '''is_anomaly'' deve ser bool, recebeu: str'
-    WHEN 7 THEN '''quality'' inválido: excellent (esperado: [''bad'', ''good'', ''warning''])'
+    WHEN 7 THEN '''quality'' inválido: otima (esperado: [''bad'', ''good'', ''warning''])'
     WHEN 8 THEN '''quality'' inválido: None (esperado: [''bad'', ''good'', ''warning''])'
-    WHEN 9 THEN '''measurement_type'' inválido: xyz'
+    WHEN 9 THEN '''measurement_type'' inválido: torque'
     WHEN 10 THEN '''metadata'' deve ser um objeto JSON'
   END AS reason,
   n AS "offset", cast(n % 3 AS integer) AS "partition",
@@ -242,7 +242,7 @@ def bronze_lines(spark: SparkSession, folder: str) -> DataFrame:
             unless(30, 39, F.col("timestamp").cast("string"), F.lit("yesterday")).alias(
                 "timestamp"
             ),
-            unless(0, 9, F.col("quality"), F.lit("excellent")).alias("quality"),
+            unless(0, 9, F.col("quality"), F.lit("otima")).alias("quality"),
             "is_anomaly",
             F.struct(
                 F.concat(F.lit("1."), (F.col("k") % 10).cast("string")).alias("firmware_version"),
@@ -255,7 +255,7 @@ def bronze_lines(spark: SparkSession, folder: str) -> DataFrame:
             F.lit("iot-sensors-raw").alias("_kafka_topic"),
             F.col("equipment_id").alias("_kafka_key"),
             "factory_id",
-            unless(40, 49, F.col("measurement_type"), F.lit("xyz")).alias("measurement_type"),
+            unless(40, 49, F.col("measurement_type"), F.lit("torque")).alias("measurement_type"),
             F.to_date("timestamp").alias("dt"),
         )
 

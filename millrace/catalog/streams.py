@@ -28,15 +28,19 @@ from millrace.streaming.windows import start_window_metrics, window_metrics
 
 
 
-def _topic(spark, d, files: int = 1) -> str:
-    """The messages as the files of a topic."""
+#: Messages of a file where a query shows several micro-batches.
+FILE_MESSAGES = 4000
+
+
+def _topic(spark, d) -> str:
+    """The messages as the files of a topic, in the partitions they come in."""
     path = scratch_path(spark, "topic")
-    i.messages(spark, d).repartition(files).write.parquet(path)
+    i.messages(spark, d).write.option("maxRecordsPerFile", FILE_MESSAGES).parquet(path)
     return path
 
 
 def _received(spark, d) -> DataFrame:
-    return spark.read.schema(MESSAGE).parquet(_topic(spark, d))
+    return i.messages(spark, d).select(*MESSAGE.names)
 
 
 # -- contract ---------------------------------------------------------------
@@ -94,7 +98,7 @@ STRICT_SCHEMA = json.dumps(
     "str02",
     f"""SELECT "offset", "partition", CASE
           WHEN reason IS NOT NULL AND k NOT IN (3, 7, 8, 9, 10) THEN reason
-          WHEN k IN (3, 7) THEN '''quality'' inválido: excellent (esperado: [''bad'', ''good''])'
+          WHEN k IN (3, 7) THEN '''quality'' inválido: otima (esperado: [''bad'', ''good''])'
           WHEN k = 8 THEN '''quality'' inválido: None (esperado: [''bad'', ''good''])'
           WHEN quality = 'warning' THEN '''quality'' inválido: warning (esperado: [''bad'', ''good''])'
           WHEN k = 9 THEN reason
@@ -266,9 +270,9 @@ def str06(spark, d):
     return _shown(bronze_events(spark, _written(spark, d, batches=2)))
 
 
-def _ingested(spark, d, files: int = 2, per_batch: int | None = None) -> str:
+def _ingested(spark, d, per_batch: int | None = None) -> str:
     root = scratch_path(spark, "bronze-stream")
-    source = file_messages(spark, _topic(spark, d, files), per_batch)
+    source = file_messages(spark, _topic(spark, d), per_batch)
     query_ = start_ingest(source, root, f"{root}-checkpoint", available_now=True)
     query_.awaitTermination()
     return root
@@ -283,7 +287,7 @@ def brz10(spark, d):
 @query("str05", _BRONZE)
 def str05(spark, d):
     """The same in several micro-batches."""
-    return _shown(bronze_events(spark, _ingested(spark, d, files=2, per_batch=1)))
+    return _shown(bronze_events(spark, _ingested(spark, d, per_batch=8)))
 
 
 @query(
@@ -310,9 +314,9 @@ def str04(spark, d):
 @query("str07", _BRONZE)
 def str07(spark, d):
     """Stopped and started again on its checkpoint: the rest follows."""
-    path, root = _topic(spark, d, 2), scratch_path(spark, "bronze-restart")
+    path, root = _topic(spark, d), scratch_path(spark, "bronze-restart")
     for _ in range(2):
-        source = file_messages(spark, path, 1)
+        source = file_messages(spark, path, 8)
         running = start_ingest(source, root, f"{root}-checkpoint", interval="0 seconds")
         running.processAllAvailable()
         running.stop()
@@ -324,7 +328,7 @@ def src09(spark, d):
     """A stream of messages read to its end."""
     out = scratch_path(spark, "consumed")
     running = (
-        file_messages(spark, _topic(spark, d, 2))
+        file_messages(spark, _topic(spark, d))
         .select("offset", "partition", F.col("key").cast("string").alias("chave"))
         .writeStream.option("checkpointLocation", f"{out}-checkpoint")
         .trigger(availableNow=True)
@@ -386,10 +390,14 @@ def rmp01_sliding(spark, d):
     ),
 )
 def rmp01_stream(spark, d):
-    """The same as a stream: windows the watermark has closed."""
+    """The same as a stream: windows the watermark has closed.
+
+    Some events have no id, and each of them counts.
+    """
     source, out = scratch_path(spark, "events"), scratch_path(spark, "windows")
     clean = i.events(spark, d)
-    clean.repartition(1).write.parquet(source)
+    clean = clean.withColumn("event_id", F.when(F.col("k") % 7 != 0, F.col("event_id")))
+    clean.write.parquet(source)
     stream = spark.readStream.schema(clean.schema).parquet(source)
     start_window_metrics(
         stream, out, f"{out}-checkpoint", available_now=True

@@ -35,6 +35,7 @@ TYPE_NAMES = {
 
 MALFORMED = "Mensagem não é JSON válido"
 
+
 @dataclass(frozen=True)
 class Contract:
     required: tuple[str, ...] = REQUIRED_FIELDS
@@ -65,15 +66,6 @@ def quoted_list(values: Iterable[str]) -> str:
     return "[" + ", ".join(f"'{v}'" for v in sorted(values)) + "]"
 
 
-def _kind(body: Column) -> Column:
-    """Bare JSON type of a variant: ``DECIMAL(3,1)`` becomes ``DECIMAL``.
-
-    A field that is not there has the type of JSON null.
-    """
-    kind = F.regexp_extract(F.schema_of_variant(body), r"^([A-Z]+)", 1)
-    return F.coalesce(kind, F.lit("VOID"))
-
-
 def with_reason(
     df: DataFrame, body: str, text: str, contract: Contract, out: str
 ) -> DataFrame:

@@ -73,7 +73,12 @@ def upsert(
     missing = set(target.columns) - set(source.columns)
     if missing:
         raise ValueError(f"source lacks target columns: {sorted(missing)}")
-    source = require_unique(source, keys)
+    # NULL keys match nothing: those rows go round the join, where all of them
+    # would be one group.
+    strict = [k for k in keys if k not in null_safe]
+    whole = reduce(lambda a, b: a & b, [F.col(k).isNotNull() for k in strict], F.lit(True))
+    loose = [df.filter(~whole).select(*target.columns) for df in (target, source) if strict]
+    target, source = target.filter(whole), require_unique(source.filter(whole), keys)
     newer = F.col(f"s.{GUARD}") >= F.col(f"t.{GUARD}")
     if use_row_hash:
         newer = newer & ~F.col(f"s.{ROW_HASH}").eqNullSafe(F.col(f"t.{ROW_HASH}"))
@@ -88,12 +93,13 @@ def upsert(
             "full_outer",
         )
     )
-    return joined.select(
+    merged = joined.select(
         *[
             F.when(take_source, F.col(f"s.{c}")).otherwise(F.col(f"t.{c}")).alias(c)
             for c in target.columns
         ]
     )
+    return reduce(DataFrame.unionByName, loose, merged)
 
 
 def replace_date(

@@ -5,7 +5,7 @@ from __future__ import annotations
 import datetime as dt
 from dataclasses import replace
 
-from pyspark.sql import Column, DataFrame, SparkSession
+from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from millrace.functions.calendar import calendar_columns
@@ -62,8 +62,11 @@ def calendar(spark: SparkSession, first: dt.date, last: dt.date) -> DataFrame:
 
 
 def keyed(df: DataFrame, columns: dict[str, str], key: str) -> DataFrame:
-    """Select and rename, then one row per known key."""
-    return pick(df, columns).filter(not_null(key)).dropDuplicates([key])
+    """Select and rename the rows of known keys, which are unique in silver.
+
+    The load fails if they are not, so no row is chosen at random here.
+    """
+    return pick(df, columns).filter(not_null(key))
 
 
 def equipment_dimension(
@@ -91,7 +94,6 @@ def equipment_dimension(
         .join(types, "tipo_equipamento_id", "left")
         .join(periods, "equipment_id", "left")
         .drop("tipo_equipamento_id")
-        .dropDuplicates(["equipment_id"])
     )
 
 
@@ -100,18 +102,24 @@ def _day_events(lake: Lake, day: dt.date) -> DataFrame:
     return events.select(*EVENT_COLUMNS)
 
 
-def affected_events(events: DataFrame, day: dt.date, period: Column) -> DataFrame:
-    """All events of every sensor and period that a run date touched.
+def affected_events(events: DataFrame, day: dt.date, unit: str) -> DataFrame:
+    """All events of every sensor and hour or day (``unit``) that a run date touched.
 
     A period may hold events of several run dates: those of the others belong
-    to its metrics too. The span of the touched periods is looked up first, so
-    that the scan of the other run dates skips files outside it.
+    to its metrics too. The span of the touched periods is looked up first. It
+    is a range of the timestamp itself, which the scan of the other run dates
+    can skip files by.
     """
-    keyed = events.withColumn("_period", period)
+    keyed = events.withColumn("_period", F.date_trunc(unit, "timestamp"))
     new = keyed.filter(on_date("_execution_date", day))
-    span = new.agg(F.min("_period").alias("first"), F.max("_period").alias("last")).first()
+    span = new.agg(
+        F.min("_period").alias("first"),
+        (F.max("_period") + F.expr(f"INTERVAL 1 {unit}")).alias("end"),
+    ).first()
     touched = new.select("sensor_id", "_period").distinct()
-    in_span = F.col("_period").between(F.lit(span["first"]), F.lit(span["last"]))
+    in_span = (F.col("timestamp") >= F.lit(span["first"])) & (
+        F.col("timestamp") < F.lit(span["end"])
+    )
     return (
         keyed.filter(in_span)
         .join(touched, ["sensor_id", "_period"], "left_semi")
@@ -122,7 +130,7 @@ def affected_events(events: DataFrame, day: dt.date, period: Column) -> DataFram
 def _affected(lake: Lake, day: dt.date, unit: str) -> DataFrame:
     events = lake.read("silver/kafka/sensor_events")
     events = events.select(*EVENT_COLUMNS, "_execution_date")
-    return affected_events(events, day, F.date_trunc(unit, "timestamp"))
+    return affected_events(events, day, unit)
 
 
 def _with_types(lake: Lake, metrics: DataFrame) -> DataFrame:

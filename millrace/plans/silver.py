@@ -119,12 +119,15 @@ SENSOR_EVENTS = Refinement(
 )
 
 
-def _refined(source: str, refinement: Refinement, run_date_only: bool = False):
-    """Refine bronze: every stored extract, or that of the run date."""
+def _refined(source: str, refinement: Refinement):
+    """Refine the extract of the run date.
+
+    Rows of earlier extracts are in the table already, or were replaced by
+    newer ones there.
+    """
 
     def build(lake: Lake, day: dt.date, before: Observation | None) -> DataFrame:
-        where = {"_execution_date": day} if run_date_only else {}
-        return refinement.apply(lake.read(f"bronze/{source}", **where), before)
+        return refinement.apply(lake.read(f"bronze/{source}", _execution_date=day), before)
 
     return build
 
@@ -134,13 +137,14 @@ def _events(lake: Lake, day: dt.date, before: Observation | None) -> DataFrame:
     return SENSOR_EVENTS.apply(lines, before)
 
 
-def _spec(source, refinement, rules, partition_by=(), build=None, run_date_only=False):
+def _spec(source, refinement, rules, partition_by=(), build=None, keys_stay=False):
     return TableSpec(
         f"silver/{source}",
-        build or _refined(source, refinement, run_date_only),
+        build or _refined(source, refinement),
         tuple(rules),
         keys=refinement.keys,
         partition_by=partition_by,
+        keys_stay=keys_stay,
         counts_duplicates=True,
     )
 
@@ -161,14 +165,13 @@ SILVER = (
         READINGS,
         READING_RULES,
         partition_by=("_dia_leitura",),
-        run_date_only=True,
+        keys_stay=True,  # a reading keeps the time it was taken
     ),
     _spec(
         "postgres/metadados_leitura",
         READING_METADATA,
         READING_METADATA_RULES,
         partition_by=("_execution_date",),
-        run_date_only=True,
     ),
     _spec(
         "mongo/equipamentos",

@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import re
 import tempfile
 import uuid
 from collections.abc import Iterator, Mapping
@@ -53,10 +54,13 @@ def session_conf(spark: SparkSession, settings: Mapping[str, str]) -> Iterator[N
 def scratch_path(spark: SparkSession, name: str) -> str:
     """A fresh path under the cluster's shared checkpoint folder.
 
-    A temporary folder of this machine is used only where the session names
-    no shared one, which is the case in local tests.
+    Without that setting there is no folder all workers share, so this fails;
+    a local session, whose workers are this machine, takes a temporary one.
     """
     root = spark.conf.get("spark.checkpoint.dir", None)
     if not root:
+        master = spark.conf.get("spark.master", "")
+        if not re.fullmatch(r"local(\[.*\])?", master):
+            raise RuntimeError(f"spark.checkpoint.dir must name a shared folder on {master!r}")
         root = tempfile.mkdtemp(prefix="millrace-")
     return f"{root.rstrip('/')}/millrace/{name}-{uuid.uuid4().hex}"

@@ -3,7 +3,7 @@
 from __future__ import annotations
 
 import datetime as dt
-from collections.abc import Iterable
+from collections.abc import Iterable, Mapping
 
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -20,21 +20,39 @@ def topic_messages(
     spark: SparkSession,
     servers: str,
     topic: str = TOPIC,
-    max_offsets_per_trigger: int | None = None,
+    *,
+    most: int | None = None,
+    least: int | None = None,
+    longest_wait: str | None = None,
+    options: Mapping[str, str] | None = None,
 ) -> DataFrame:
     """A topic from its earliest offset. Needs the Kafka connector.
 
+    A batch takes ``most`` messages, and starts with ``least`` or after
+    ``longest_wait``. Other connector options, such as security, pass through.
     Progress lives in the query's checkpoint, not in a consumer group.
     """
-    reader = (
-        spark.readStream.format("kafka")
-        .option("kafka.bootstrap.servers", servers)
-        .option("subscribe", topic)
-        .option("startingOffsets", "earliest")
-    )
-    if max_offsets_per_trigger:
-        reader = reader.option("maxOffsetsPerTrigger", max_offsets_per_trigger)
-    return reader.load().select(*MESSAGE.names)
+    chosen = topic_options(servers, topic, most, least, longest_wait, options)
+    return spark.readStream.format("kafka").options(**chosen).load().select(*MESSAGE.names)
+
+
+def topic_options(
+    servers: str,
+    topic: str,
+    most: int | None,
+    least: int | None,
+    longest_wait: str | None,
+    options: Mapping[str, str] | None,
+) -> dict[str, str]:
+    given = {
+        "kafka.bootstrap.servers": servers,
+        "subscribe": topic,
+        "startingOffsets": "earliest",
+        "maxOffsetsPerTrigger": most,
+        "minOffsetsPerTrigger": least,
+        "maxTriggerDelay": longest_wait,
+    }
+    return {**{k: str(v) for k, v in given.items() if v is not None}, **(options or {})}
 
 
 def file_messages(

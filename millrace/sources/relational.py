@@ -12,6 +12,10 @@ from pyspark.sql import DataFrame, SparkSession
 from millrace.operators.filters import in_days
 
 
+#: The name a window's timestamp travels under.
+WINDOW = "_window"
+
+
 class Relations(Protocol):
     """What a table job may ask of a relational source."""
 
@@ -81,12 +85,7 @@ class JdbcRelations:
         self, name: str, column: str, first: dt.date, last: dt.date
     ) -> DataFrame:
         """The range is a plain comparison, so Spark sends it to the database."""
-        split = None
-        if self.window_reads > 1:
-            end = last + dt.timedelta(days=1)
-            split = Partitioning(
-                column, f"{first} 00:00:00", f"{end} 00:00:00", self.window_reads
-            )
+        split = self._ranges(column, first, last)
         return self._read(self._name(name), split).filter(in_days(column, first, last))
 
     def children_of_window(
@@ -99,15 +98,35 @@ class JdbcRelations:
         first: dt.date,
         last: dt.date,
     ) -> DataFrame:
-        """The join runs in the database: only the window's rows travel."""
-        end = last + dt.timedelta(days=1)
-        return self._read(
-            f"(SELECT c.* FROM {self._name(child)} c"
-            f" INNER JOIN {self._name(parent)} p"
-            f' ON c."{foreign_key}" = p."{primary_key}"'
-            f" WHERE p.\"{column}\" >= TIMESTAMP('{first} 00:00:00')"
-            f" AND p.\"{column}\" < TIMESTAMP('{end} 00:00:00')) f"
+        """The join runs in the database: only the window's rows travel.
+
+        The parent's timestamp comes along under another name, so that the
+        window can be read in parallel ranges like a table's.
+        """
+        text = children_sql(
+            self._name(child), foreign_key, self._name(parent), primary_key, column, first, last
         )
+        return self._read(text, self._ranges(WINDOW, first, last)).drop(WINDOW)
+
+    def _ranges(self, column: str, first: dt.date, last: dt.date) -> Partitioning | None:
+        if self.window_reads < 2:
+            return None
+        end = last + dt.timedelta(days=1)
+        return Partitioning(column, f"{first} 00:00:00", f"{end} 00:00:00", self.window_reads)
+
+
+def children_sql(
+    child: str, foreign_key: str, parent: str, primary_key: str, column: str,
+    first: dt.date, last: dt.date,
+) -> str:
+    """The children of a window of parents; times in the form every JDBC driver reads."""
+    end = last + dt.timedelta(days=1)
+    return (
+        f'(SELECT c.*, p."{column}" AS "{WINDOW}" FROM {child} c'
+        f' INNER JOIN {parent} p ON c."{foreign_key}" = p."{primary_key}"'
+        f" WHERE p.\"{column}\" >= {{ts '{first} 00:00:00'}}"
+        f" AND p.\"{column}\" < {{ts '{end} 00:00:00'}}) f"
+    )
 
 
 @dataclass(frozen=True)

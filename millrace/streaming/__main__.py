@@ -4,14 +4,15 @@ from __future__ import annotations
 
 import argparse
 import logging
-from pathlib import Path
+import signal
 
-from pyspark.sql.streaming import StreamingQueryListener
+from pyspark.sql.streaming import StreamingQuery, StreamingQueryListener
 
 from millrace.functions.contract import Contract
 from millrace.plans.lake import Lake
 from millrace.session import build_session
 from millrace.sources.events import TOPIC, topic_messages
+from millrace.sources.files import read_text
 from millrace.streaming.ingest import OBSERVED, start_ingest
 
 log = logging.getLogger(__name__)
@@ -46,6 +47,14 @@ def parse(argv: list[str] | None = None) -> argparse.Namespace:
     parser.add_argument("--schema-file", help="JSON Schema of the contract")
     parser.add_argument("--flush-interval", default="30 seconds")
     parser.add_argument("--max-offsets", type=int, help="messages per batch at most")
+    parser.add_argument("--min-offsets", type=int, help="messages a batch waits for")
+    parser.add_argument("--max-delay", help="how long it waits for them, such as 30s")
+    parser.add_argument(
+        "--option", action="append", default=[], help="connector option, as name=value"
+    )
+    parser.add_argument(
+        "--bool-is-number", action="store_true", help="accept true and false as value"
+    )
     parser.add_argument("--available-now", action="store_true")
     parser.add_argument("--dry-run", action="store_true")
     return parser.parse_args(argv)
@@ -56,18 +65,32 @@ def main(argv: list[str] | None = None) -> None:
     logging.basicConfig(level=logging.INFO)
     spark = build_session("millrace-ingest")
     spark.streams.addListener(CounterLog())
-    schema = Path(args.schema_file).read_text("utf-8") if args.schema_file else None
+    schema = read_text(spark, args.schema_file) if args.schema_file else None
     query = start_ingest(
-        topic_messages(spark, args.bootstrap_servers, args.topic, args.max_offsets),
+        topic_messages(
+            spark,
+            args.bootstrap_servers,
+            args.topic,
+            most=args.max_offsets,
+            least=args.min_offsets,
+            longest_wait=args.max_delay,
+            options=dict(option.split("=", 1) for option in args.option),
+        ),
         Lake(spark, args.root, args.environment).events_path,
         args.checkpoint,
-        contract=Contract.from_json_schema(schema),
+        contract=Contract.from_json_schema(schema, bool_is_number=args.bool_is_number),
         interval=args.flush_interval,
         available_now=args.available_now,
         dry_run=args.dry_run,
     )
+    stop_on_signal(query)
     query.awaitTermination()
 
 
+def stop_on_signal(query: StreamingQuery) -> None:
+    """On SIGTERM, end the query; an unfinished batch is done again at the next start."""
+    signal.signal(signal.SIGTERM, lambda *_: query.stop())
+
+
 if __name__ == "__main__":
     main()

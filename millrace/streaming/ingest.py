@@ -17,6 +17,7 @@ REASON = "_dlq_reason"
 EVENT_PARTITIONS = ("factory_id", "measurement_type", "dt")
 DEAD_LETTER = "_dead_letter"
 ALERTS = "_alerts"
+INGEST_DAY = "_ingest_day"
 OBSERVED = "ingest"
 
 
@@ -52,6 +53,8 @@ def classify(messages: DataFrame, contract: Contract = Contract()) -> DataFrame:
         F.coalesce(_field("factory_id"), F.lit("UNKNOWN")).alias("factory_id"),
         F.coalesce(_field("measurement_type"), F.lit("UNKNOWN")).alias("measurement_type"),
         event_day(_field("timestamp")).alias("dt"),
+        # Taken here: on a replay, columns of the stream have the first run's clock.
+        F.current_date().alias(INGEST_DAY),
     )
 
 
@@ -116,7 +119,7 @@ def dead_lines(classified: DataFrame) -> DataFrame:
     invalid = classified.filter(F.col(REASON).isNotNull())
     return invalid.select(
         F.when(is_object, _json_line(tags)).otherwise(raw).alias("value"),
-        F.current_date().alias("dt"),
+        F.col(INGEST_DAY).alias("dt"),
     )
 
 

@@ -6,7 +6,8 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.streaming import StreamingQuery
 
-from millrace.operators.filters import is_true
+from millrace.operators.dedup import keep_latest
+from millrace.operators.filters import is_true, not_null
 
 
 def window_metrics(
@@ -17,12 +18,11 @@ def window_metrics(
 ) -> DataFrame:
     """Metrics per window, factory and type: tumbling, or sliding with ``slide``.
 
-    On a stream, repeated events are dropped within the watermark, and a
-    window is final once the watermark passes its end.
+    Repeated events count once, on a stream within the watermark. Events
+    without an id cannot be told to repeat, so each of them counts. On a
+    stream, a window is final once the watermark passes its end.
     """
-    if events.isStreaming:
-        events = events.withWatermark("timestamp", lateness)
-        events = events.dropDuplicatesWithinWatermark(["event_id"])
+    events = without_repeats(events, lateness)
     frame = F.window("timestamp", width, slide) if slide else F.window("timestamp", width)
     return (
         events.groupBy(frame.alias("w"), "factory_id", "measurement_type")
@@ -47,6 +47,18 @@ def window_metrics(
     )
 
 
+def without_repeats(events: DataFrame, lateness: str) -> DataFrame:
+    """One event for each id; those without an id stay as they are."""
+    if events.isStreaming:
+        events = events.withWatermark("timestamp", lateness)
+    known, unknown = events.filter(not_null("event_id")), events.filter("event_id IS NULL")
+    if events.isStreaming:
+        known = known.dropDuplicatesWithinWatermark(["event_id"])
+    else:
+        known = keep_latest(known, ["event_id"], ["timestamp"])
+    return known.unionByName(unknown)
+
+
 def start_window_metrics(
     events: DataFrame,
     path: str,

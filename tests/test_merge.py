@@ -61,6 +61,18 @@ def test_null_keys_never_match_unless_null_safe(spark):
     assert rows(upsert(target, source, ["k"], null_safe=["k"])) == [(None, "b", day(21))]
 
 
+def test_null_keys_go_round_the_join(spark):
+    """Many rows without a key would be one group of the join; they are not in it."""
+    schema = "k string, v string, _execution_date date"
+    target = spark.createDataFrame([(None, "t", day(1))] * 3 + [("a", "t", day(1))], schema)
+    source = spark.createDataFrame([(None, "s", day(2))] * 2 + [("a", "s", day(2))], schema)
+    merged = upsert(target, source, ["k"])
+    assert sorted(r.v for r in merged.collect()) == ["s", "s", "s", "t", "t", "t"]
+    plan = merged._jdf.queryExecution().optimizedPlan().toString()
+    join = plan[plan.index("Join FullOuter") :].split("Filter (isnull")[0]
+    assert join.count("isnotnull(k") >= 2
+
+
 def test_missing_columns_are_refused(spark):
     with pytest.raises(ValueError, match="lacks"):
         upsert(frame(spark, TARGET), frame(spark, SOURCE).drop("v"), ["k"])

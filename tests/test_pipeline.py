@@ -181,7 +181,7 @@ def loaded(spark, derby, tmp_path_factory):
             day_event(4, measurement_type="current", sensor_id="S-2"),
             day_event(4, measurement_type="current", sensor_id="S-2"),
             day_event(5, event_id=None),
-            day_event(6, quality="excellent"),
+            day_event(6, quality="otima"),
         ],
     )
     return lake, run_all(lake, DAY)
@@ -231,7 +231,7 @@ def test_event_silver(loaded):
         ("e1", 10.0, 80, "kafka", DAY),
         ("e2", 20.0, 80, "kafka", DAY),
         ("e3", 5.0, 80, "kafka", DAY),
-        ("e4", 25.5, 80, "kafka", DAY),
+        ("e4", 3.25, 80, "kafka", DAY),
     ]
     result = next(r for r in results if r.table == "silver/kafka/sensor_events")
     assert result.duplicates == 1
@@ -266,7 +266,7 @@ def test_facts(loaded):
         "sensor_id", "tipo_medicao_id",
     ) == [
         (2026060510, "S-1", 1, 15.0, 2, 1, 0.5),
-        (2026060510, "S-2", None, 25.5, 1, 0, 1.0),
+        (2026060510, "S-2", None, 3.25, 1, 0, 1.0),
         (2026060510, "S-2", 2, 5.0, 1, 0, 1.0),
     ]
     result = next(r for r in results if r.table == "gold/fct/fct_leituras_hora")

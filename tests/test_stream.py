@@ -7,11 +7,12 @@ import os
 import pytest
 from pyspark.sql import functions as F
 
-from conftest import event, messages, rows, values
+from conftest import DAY, event, messages, rows, values
 from millrace.functions.contract import Contract
-from millrace.sources.events import bronze_events, file_messages
+from millrace.sources.events import TOPIC, bronze_events, file_messages
 from millrace.streaming.ingest import (
     ALERTS,
+    INGEST_DAY,
     anomaly_alerts,
     batch_writer,
     classify,
@@ -21,7 +22,7 @@ from millrace.streaming.ingest import (
     start_ingest,
     valid_lines,
 )
-from millrace.streaming.windows import start_window_metrics
+from millrace.streaming.windows import start_window_metrics, window_metrics
 
 TODAY = dt.datetime.now(dt.timezone.utc).date()
 
@@ -29,7 +30,7 @@ CASES = [
     (event(), None),
     (event(drop=["sensor_id"]), "Campos ausentes: ['sensor_id']"),
     (event(drop=["unit", "event_id"]), "Campos ausentes: ['event_id', 'unit']"),
-    (event(value="not-a-number"), "'value' deve ser numérico, recebeu: str"),
+    (event(value="doze"), "'value' deve ser numérico, recebeu: str"),
     (event(value=None), "'value' deve ser numérico, recebeu: NoneType"),
     (event(value=[1]), "'value' deve ser numérico, recebeu: list"),
     (event(value={"a": 1}), "'value' deve ser numérico, recebeu: dict"),
@@ -40,24 +41,24 @@ CASES = [
     (event(value=0), None),
     (event(value=1e300), None),
     (event(value=12345678901234567890123), None),
-    (event(is_anomaly="yes"), "'is_anomaly' deve ser bool, recebeu: str"),
+    (event(is_anomaly="sim"), "'is_anomaly' deve ser bool, recebeu: str"),
     (event(is_anomaly=0), "'is_anomaly' deve ser bool, recebeu: int"),
     (event(is_anomaly=0.5), "'is_anomaly' deve ser bool, recebeu: float"),
     (event(quality="good"), None),
     (event(quality="warning"), None),
     (event(quality="bad"), None),
     (
-        event(quality="excellent"),
-        "'quality' inválido: excellent (esperado: ['bad', 'good', 'warning'])",
+        event(quality="otima"),
+        "'quality' inválido: otima (esperado: ['bad', 'good', 'warning'])",
     ),
     (event(quality=None), "'quality' inválido: None (esperado: ['bad', 'good', 'warning'])"),
     (event(quality=True), "'quality' inválido: True (esperado: ['bad', 'good', 'warning'])"),
-    (event(measurement_type="xyz"), "'measurement_type' inválido: xyz"),
+    (event(measurement_type="torque"), "'measurement_type' inválido: torque"),
     (event(metadata="string"), "'metadata' deve ser um objeto JSON"),
     (event(metadata=None), "'metadata' deve ser um objeto JSON"),
-    (event(metadata={"foo": "bar"}), None),
-    ("not-a-dict", "Mensagem não é JSON válido"),
-    ('"not-a-dict"', "Evento deve ser dict, recebeu: str"),
+    (event(metadata={"lote": 7}), None),
+    ("so texto", "Mensagem não é JSON válido"),
+    ('"so texto"', "Evento deve ser dict, recebeu: str"),
     ("[1, 2]", "Evento deve ser dict, recebeu: list"),
     ("null", "Evento deve ser dict, recebeu: NoneType"),
     ("1.5", "Evento deve ser dict, recebeu: float"),
@@ -98,19 +99,19 @@ def test_contract_from_schema(spark):
 def test_partition_columns(spark):
     payloads = [
         event(),
-        event(timestamp="not-a-date"),
-        event(timestamp="2025-01-01T23:00:00-03:00"),
-        event(timestamp="2025-01-01T00:30:00Z"),
+        event(timestamp="31/12"),
+        event(timestamp="2031-03-14T23:00:00-03:00"),
+        event(timestamp="2031-03-14T00:30:00Z"),
         event(factory_id=None),
         {},
     ]
     found = classify(messages(spark, payloads)).orderBy("_kafka_offset")
-    first = dt.date(2025, 1, 1)
+    first = DAY.date()
     assert rows(found.select("factory_id", "measurement_type", "dt")) == [
-        ("F1", "temperature", first),
-        ("F1", "temperature", TODAY),
-        ("F1", "temperature", first),
-        ("F1", "temperature", first),
+        ("factory_id-0", "temperature", first),
+        ("factory_id-0", "temperature", TODAY),
+        ("factory_id-0", "temperature", first),
+        ("factory_id-0", "temperature", first),
         ("UNKNOWN", "temperature", first),
         ("UNKNOWN", "UNKNOWN", TODAY),
     ]
@@ -126,7 +127,7 @@ def test_valid_events_are_enriched(spark):
     assert {k: line[k] for k in extra} == extra
     assert line["_ingested_at"].endswith("Z")
     assert (line["_kafka_offset"], line["_kafka_partition"]) == (0, 0)
-    assert (line["_kafka_topic"], line["_kafka_key"]) == ("iot-sensors-raw", "k0")
+    assert (line["_kafka_topic"], line["_kafka_key"]) == (TOPIC, "0")
 
 
 def test_lines_stay_single_and_keys_unique(spark):
@@ -166,7 +167,7 @@ def test_counters_and_alerts(spark):
     classified = classify(messages(spark, payloads))
     counted = counters(classified).first()
     assert counted[:4] == (4, 3, 1, 2) and counted["bytes"] > 0
-    assert rows(anomaly_alerts(classified).select("sensor_id", "value")) == [("s1", 25.5)] * 2
+    assert rows(anomaly_alerts(classified).select("sensor_id", "value")) == [("sensor_id-0", 3.25)] * 2
 
 
 def ingest(spark, source, root, **options):
@@ -192,7 +193,7 @@ def test_stream_writes_all_outputs(spark, tmp_path):
 
 def test_folders_follow_the_hive_layout(spark, tmp_path):
     batch_writer(str(tmp_path))(classify(messages(spark, [event()])), 7)
-    folder = tmp_path / "factory_id=F1" / "measurement_type=temperature" / "dt=2025-01-01"
+    folder = tmp_path / "factory_id=factory_id-0" / "measurement_type=temperature" / "dt=2031-03-14"
     assert folder.is_dir()
 
 
@@ -206,6 +207,15 @@ def test_replayed_batch_replaces_itself(spark, tmp_path):
     assert dead_letters(spark, str(tmp_path)).count() == 2
 
 
+def test_dead_letters_keep_the_day_of_their_batch(spark, tmp_path):
+    """The day comes with the batch, so that a replay after midnight finds its folder."""
+    yesterday = F.lit(dt.date(2031, 1, 1))
+    batch = classify(messages(spark, ["{bad"])).withColumn(INGEST_DAY, yesterday)
+    for _ in range(2):
+        batch_writer(str(tmp_path))(batch, 0)
+    assert rows(dead_letters(spark, str(tmp_path)).select("dt")) == [(dt.date(2031, 1, 1),)]
+
+
 def test_failed_batch_is_replayed(spark, tmp_path):
     """A batch that fails leaves the offset; a restart delivers it."""
     messages(spark, [event(event_id=f"e{n}") for n in range(3)]).write.parquet(str(tmp_path / "in"))
@@ -257,14 +267,22 @@ def test_window_stream_drops_repeats_and_closes_windows(spark, tmp_path):
         ("e1", "F1", "temperature", 1.0, False, at(1)),
         ("e2", "F1", "temperature", 3.0, True, at(4)),
         ("e3", "F1", "temperature", 9.0, None, at(6)),
+        (None, "F2", "temperature", 5.0, False, at(2)),
+        (None, "F2", "temperature", 7.0, False, at(2)),
+        (None, "F3", "temperature", 7.0, False, at(3)),
         ("e4", "F1", "temperature", 5.0, False, at(59)),
     ]
     spark.createDataFrame(data, schema).coalesce(1).write.parquet(str(tmp_path / "in"))
     stream = spark.readStream.schema(schema).parquet(str(tmp_path / "in"))
     out = str(tmp_path / "out")
     start_window_metrics(stream, out, f"{out}-checkpoint", available_now=True).awaitTermination()
-    found = spark.read.parquet(out).select("inicio", "leituras", "anomalias", "avg_valor")
-    assert rows(found, "inicio") == [(at(0), 2, 1, 2.0), (at(5), 1, 0, 9.0)]
+    shown = ("factory_id", "inicio", "leituras", "anomalias", "avg_valor")
+    want = [
+        ("F1", at(0), 2, 1, 2.0), ("F1", at(5), 1, 0, 9.0), ("F2", at(0), 2, 0, 6.0), ("F3", at(0), 1, 0, 7.0)
+    ]
+    assert rows(spark.read.parquet(out).select(*shown), *shown) == want
+    batch = window_metrics(spark.createDataFrame(data, schema)).where(F.col("inicio") < at(55))
+    assert rows(batch.select(*shown), *shown) == want
 
 
 def test_dead_letters_are_hidden_from_readers_of_the_parent(spark, tmp_path):
