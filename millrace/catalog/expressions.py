@@ -588,16 +588,27 @@ CHECK_DAY = run_date("2024-01-01")
 
 def _check_sql(table: str, checks: list[tuple[str, str, str]]) -> str:
     """The result table of a suite: (label, level, violation count) per rule."""
+
+    def share(label: str) -> str:
+        """What a failed rule reports: rows that keep it; of values, those that occur once."""
+        if not label.startswith("isUnique("):
+            return "NULL::double"
+        c = label[len("isUnique(") : -1]
+        return f"""(SELECT count(*) FILTER (n = 1) FROM (SELECT count(*) AS n FROM {table}
+            WHERE {c} IS NOT NULL GROUP BY {c}))::double / count({c})"""
+
     rows = " UNION ALL ".join(
         f"""SELECT '{label}' AS "constraint", '{level}' AS check_level,
-            cast({count} AS bigint) AS violations, count(*) AS "rows" FROM {table}"""
+            cast({count} AS bigint) AS violations, count(*) AS "rows",
+            {share(label)} AS share FROM {table}"""
         for label, level, count in checks
     )
     return f"""
 SELECT "constraint", check_level,
   CASE WHEN violations = 0 THEN 'Success' ELSE 'Failure' END AS constraint_status,
   CASE WHEN violations = 0 THEN '' ELSE 'Value: ' ||
-    cast(cast(1.0::double - violations::double / "rows" AS decimal(7,6)) AS varchar) ||
+    cast(cast(coalesce(share, 1.0::double - violations::double / "rows") AS decimal(7,6))
+      AS varchar) ||
     ' does not meet the constraint requirement!' END AS constraint_message,
   violations, "rows", DATE '{CHECK_DAY}' AS _execution_date
 FROM ({rows})"""

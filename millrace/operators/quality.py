@@ -10,6 +10,7 @@ import datetime as dt
 from collections.abc import Iterable, Sequence
 from dataclasses import dataclass
 from enum import Enum
+from functools import reduce
 
 from pyspark.sql import Column, DataFrame, Row
 from pyspark.sql import functions as F
@@ -47,8 +48,6 @@ class Rule:
         column = F.col(self.column)
         if self.kind == "isComplete":
             return F.count_if(column.isNull())
-        if self.kind == "isUnique":
-            return F.count(column) - F.count_distinct(column)
         if self.kind == "isContainedIn":
             return F.count_if(~column.isin(*self.argument))
         if self.kind == "isNonNegative":
@@ -83,9 +82,34 @@ def has_type(column: str, type_name: str, level: Level = Level.ERROR) -> Rule:
 def measure(
     df: DataFrame, rules: Sequence[Rule], extra: Sequence[Column] = ()
 ) -> DataFrame:
-    """One row: ``rows``, a violation count per rule, and any extra aggregates."""
-    counts = [rule.violations().alias(f"rule_{i}") for i, rule in enumerate(rules)]
-    return df.agg(F.count(F.lit(1)).alias("rows"), *counts, *extra)
+    """One row: ``rows``, a violation count per rule, and any extra aggregates.
+
+    All rules are one aggregate, but for those of uniqueness: each counts the
+    values of its column alone, which reads that column and no other. They
+    add ``share_<i>``, how many of the known values occur once.
+    """
+    unique_ones = {i: rule for i, rule in enumerate(rules) if rule.kind == "isUnique"}
+    counts = [
+        rule.violations().alias(f"rule_{i}")
+        for i, rule in enumerate(rules)
+        if i not in unique_ones
+    ]
+    parts = [df.agg(F.count(F.lit(1)).alias("rows"), *counts, *extra)]
+    for i, rule in unique_ones.items():
+        known = df.select(F.col(rule.column).alias("v")).filter("v IS NOT NULL")
+        values, known = known.groupBy("v").agg(F.count(F.lit(1)).alias("n")), F.sum("n")
+        parts.append(
+            values.agg(
+                F.coalesce(known - F.count(F.lit(1)), F.lit(0)).alias(f"rule_{i}"),
+                F.coalesce(F.count_if(F.col("n") == 1) / F.nullif(known, F.lit(0)), F.lit(1.0))
+                .alias(f"share_{i}"),
+            )
+        )
+    if len(parts) == 1:
+        return parts[0]
+    joined = reduce(lambda a, b: a.unionByName(b, allowMissingColumns=True), parts)
+    # one row of each part, so that every column has one value
+    return joined.agg(*[F.max(c).alias(c) for c in joined.columns])
 
 
 def report(measured: DataFrame, rules: Sequence[Rule], day: dt.date) -> DataFrame:
@@ -93,9 +117,8 @@ def report(measured: DataFrame, rules: Sequence[Rule], day: dt.date) -> DataFram
 
     def result(i: int, rule: Rule) -> Column:
         broken = F.col(f"rule_{i}")
-        kept = (F.lit(1.0) - broken / F.greatest(F.col("rows"), F.lit(1))).cast(
-            "decimal(7,6)"
-        )
+        share = F.lit(1.0) - broken / F.greatest(F.col("rows"), F.lit(1))
+        kept = (F.col(f"share_{i}") if rule.kind == "isUnique" else share).cast("decimal(7,6)")
         return F.struct(
             F.lit(rule.label).alias("constraint"),
             F.lit(rule.level.value).alias("check_level"),

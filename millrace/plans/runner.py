@@ -105,7 +105,9 @@ def _store_report(lake: Lake, spec: TableSpec, measured: Row, day: dt.date) -> N
         return
     counts = lake.spark.createDataFrame(
         [tuple(measured[c] for c in _count_columns(spec))],
-        ", ".join(f"{c} long" for c in _count_columns(spec)),
+        ", ".join(
+            f"{c} {'double' if c.startswith('share_') else 'long'}" for c in _count_columns(spec)
+        ),
     )
     results = report(counts, spec.rules, day).withColumn("table_path", F.lit(spec.path))
     overwrite_partitions(
@@ -114,7 +116,8 @@ def _store_report(lake: Lake, spec: TableSpec, measured: Row, day: dt.date) -> N
 
 
 def _count_columns(spec: TableSpec) -> list[str]:
-    return ["rows", *[f"rule_{i}" for i in range(len(spec.rules))]]
+    shares = [f"share_{i}" for i, rule in enumerate(spec.rules) if rule.kind == "isUnique"]
+    return ["rows", *[f"rule_{i}" for i in range(len(spec.rules))], *shares]
 
 
 def run_all(

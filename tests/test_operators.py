@@ -223,6 +223,9 @@ def test_rules(measured_rows):
     message = found.filter("constraint = 'isComplete(s)'").first()
     assert message.constraint_message == "Value: 0.666667 does not meet the constraint requirement!"
     assert message._execution_date == DAY
+    # one of three known values occurs once
+    unique = found.filter("constraint = 'isUnique(id)'").first()
+    assert unique.constraint_message.startswith("Value: 0.333333 ")
 
 
 def test_gate(measured_rows):
