@@ -20,9 +20,11 @@ from millrace.plans.gold import (
     hours_of,
     keyed,
 )
+from millrace.plans.lake import Lake
+from millrace.plans.runner import find_table
+from millrace.plans.spec import Refinement
 from millrace.sources.documents import flatten_equipment
 from millrace.sources.relational import FrameRelations
-from millrace.plans.spec import Refinement
 
 # The run of the windowed extracts below.
 RUN = run_date("2001-08-05")
@@ -105,6 +107,18 @@ def _both_days(sql: str, old: str) -> str:
         UNION ALL SELECT *, DATE '{i.SNAPSHOT_DAYS[1]}' FROM ({sql})"""
 
 
+def _daily_extracts(spark, name: str, snapshots: DataFrame) -> DataFrame:
+    """The batches of a bronze table for two days, of a source that has ``snapshots``."""
+    spec, batches = find_table(f"bronze/postgres/{name}"), []
+    for text in i.SNAPSHOT_DAYS:
+        day = run_date(text)
+        held = snapshots.filter(F.col("_execution_date") == F.lit(day))
+        relations = FrameRelations(lambda _, held=held: held.drop("_execution_date", "_processed_at"))
+        lake = Lake(spark, "unused", "hmg", relations)
+        batches.append(add_metadata(spec.build(lake, day, None), day, spec.source))
+    return batches[0].unionByName(batches[1]).drop("_processed_at", "_data_source")
+
+
 _KINDS = """SELECT cast(p_partkey AS varchar) AS id, p_name AS nome, {} AS unidade,
     cast(p_size AS double) AS valor_minimo,
     cast(cast(p_retailprice - 900 AS decimal(10,2)) AS double) AS valor_maximo,
@@ -114,7 +128,7 @@ _KINDS = """SELECT cast(p_partkey AS varchar) AS id, p_name AS nome, {} AS unida
 
 @query("brz05", _both_days(_KINDS.format("lower(p_type)"), _KINDS.format("p_type")))
 def brz05(spark, d):
-    df = i.measurement_kinds_bronze(spark, d).drop("_processed_at")
+    df = _daily_extracts(spark, "tipos_medicao", i.measurement_kinds_bronze(spark, d))
     numbers = ("valor_minimo", "valor_maximo", "faixa_normal_min", "faixa_normal_max")
     return df.withColumns({c: F.col(c).cast("double") for c in numbers})
 
@@ -128,7 +142,7 @@ _PRIORITIES = """SELECT {} AS nome, cast(min(o_orderkey) AS varchar) AS id
     _both_days(_PRIORITIES.format("lower(o_orderpriority)"), _PRIORITIES.format("o_orderpriority")),
 )
 def brz06(spark, d):
-    return i.statuses_bronze(spark, d).drop("_processed_at")
+    return _daily_extracts(spark, "status_qualidade", i.statuses_bronze(spark, d))
 
 
 @query(

@@ -70,13 +70,18 @@ def run(lake: Lake, spec: TableSpec, day: dt.date) -> RunResult:
     measured = measure(table.read_staged(staged), spec.rules, key_bounds(bounds)).first()
     if measured["rows"] == 0:
         log.warning("%s: no rows, nothing loaded", spec.path)
+        table.discard(staged)
         return RunResult(spec.path, "empty")
 
     _store_report(lake, spec, measured, day)
     warnings = tuple(broken_rules(measured, spec.rules, Level.WARNING))
     for label in warnings:
         log.warning("%s: rule failed: %s", spec.path, label)
-    gate(measured, spec.rules)
+    try:
+        gate(measured, spec.rules)
+    except QualityError:
+        table.discard(staged)
+        raise
 
     rewritten: Iterable[str] = ()
     if spec.keys:

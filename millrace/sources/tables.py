@@ -157,6 +157,10 @@ class SnapshotTable:
             parts = tuple(p.split(marker, 1)[1] for p in found)
         return Staged(snapshot, schema, tuple(partition_by), parts)
 
+    def discard(self, staged: Staged) -> None:
+        """Delete a batch that will not be published."""
+        delete_tree(self.spark, self._folder(staged.snapshot, ""))
+
     def read_staged(self, staged: Staged) -> DataFrame:
         return self._load(
             staged.schema, [self._folder(staged.snapshot, p) for p in staged.parts]

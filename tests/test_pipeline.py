@@ -344,6 +344,7 @@ def test_error_rule_stops_the_load(spark, tmp_path):
     with pytest.raises(QualityError, match="isComplete.nome."):
         run(lake, spec, DAY)
     assert not lake.table(spec.path).exists()
+    assert not list(tmp_path.rglob("*=s-*"))
     assert spark.read.parquet(lake.quality_path).filter("constraint_status = 'Failure'").count() == 1
 
 
@@ -353,6 +354,7 @@ def test_empty_batch_loads_nothing(spark, tmp_path):
     spec = find_table("bronze/postgres/status_qualidade")
     assert run(lake, spec, DAY).status == "empty"
     assert not lake.table(spec.path).exists()
+    assert not list(tmp_path.rglob("*=s-*"))
 
 
 def test_environments():
