@@ -95,15 +95,30 @@ def families(seed, vocabulary=200):
     return [*rows, (9000, None), (9001, ""), (9002, " \n"), (9003, "A b  C"), (9004, "a B c")]
 
 
-@pytest.mark.parametrize("frequent", [2, 6, 32])
-def test_components_equal_brute_force(spark, monkeypatch, frequent):
+@pytest.mark.parametrize("frequent,crowd", [(2, 3), (6, 8), (32, 64)])
+def test_components_equal_brute_force(spark, monkeypatch, frequent, crowd):
     monkeypatch.setattr(jaccard_join, "LEAST_FREQUENT", frequent)
+    monkeypatch.setattr(jaccard_join, "CROWD", crowd)
+    monkeypatch.setattr(jaccard_join, "BLOCK", 4)
     rows = families(frequent)
     table = spark.createDataFrame(rows, "doc_id long, text string").withColumn("n_shingles", F.lit("x"))
     found = jaccard_join.components(table.repartition(3)).collect()
     assert {r["doc_id"]: (r["n_shingles"], r["component_id"]) for r in found} == plain_components(rows)
 
 
+def test_common_counts_equal_sets(monkeypatch):
+    monkeypatch.setattr(jaccard_join, "CHUNK", 50)
+    r = random.Random(4)
+    sides = [[sorted(r.sample(range(60), r.randrange(1, 30))) for _ in range(n)] for n in (9, 7)]
+    wide = [[np.array([v << 20 for v in x], np.uint64) for x in side] for side in sides]
+    packed = [[x.view(np.uint8).reshape(-1, 8)[:, 2:].tobytes() for x in side] for side in wide]
+    tokens, owners, sizes = zip(*(jaccard_join.held_tokens(p) for p in packed))
+    found = jaccard_join.common_counts(tokens, owners, (9, 7))
+    want = [[len(set(a) & set(b)) for b in sides[1]] for a in sides[0]]
+    assert found.tolist() == want
+    assert sizes[0].tolist() == [len(x) for x in sides[0]]
+
+
 def test_join_of_repeated_and_null_ids(spark):
     a, b = "one two three four five six seven", "red green blue black white grey pink"
     rows = [(5, a), (3, b), (3, a), (3, a), (None, b), (7, None)]
