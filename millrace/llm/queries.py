@@ -230,7 +230,33 @@ def secrets(spark: SparkSession, folder: str) -> DataFrame:
     )
 
 
-@query("op2_jaccard")
+@query(
+    "op2_jaccard",
+    r"""
+    WITH RECURSIVE words AS (
+        SELECT doc_id, regexp_extract_all(translate(text, 'ABCDEFGHIJKLMNOPQRSTUVWXYZ',
+            'abcdefghijklmnopqrstuvwxyz'), '[^\x20\x09-\x0D]+') AS w
+        FROM documents),
+    sets AS (
+        SELECT doc_id, coalesce(CASE
+            WHEN len(w) >= 5 THEN
+                list_distinct([array_to_string(w[i:i + 4], ' ') FOR i IN range(1, len(w) - 3)])
+            WHEN len(w) > 0 THEN [array_to_string(w, ' ')] END, []) AS s
+        FROM words),
+    shingles AS (SELECT doc_id, len(s) AS n, unnest(s) AS shingle FROM sets),
+    links AS (
+        SELECT a.doc_id AS x, b.doc_id AS y
+        FROM shingles a JOIN shingles b ON a.shingle = b.shingle AND a.doc_id <> b.doc_id
+        GROUP BY a.doc_id, b.doc_id, a.n, b.n
+        HAVING 100 * count(*) >= 75 * (a.n + b.n - count(*))),
+    reached(doc_id, other) AS (
+        SELECT doc_id, doc_id FROM sets
+        UNION SELECT doc_id, y FROM reached JOIN links ON x = other)
+    SELECT doc_id, CAST(len(s) AS BIGINT) AS n_shingles, component_id
+    FROM sets JOIN (SELECT doc_id, min(other) AS component_id FROM reached GROUP BY doc_id)
+        USING (doc_id)
+    """,
+)
 def near_duplicates(spark: SparkSession, folder: str) -> DataFrame:
     """The near-duplicate component of every document."""
     return jaccard_join.components(read(spark, folder, "documents"))

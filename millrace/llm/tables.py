@@ -7,14 +7,21 @@ from collections.abc import Iterator
 import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
 
+from millrace.session import session_conf
+
 
 def read(spark: SparkSession, folder: str, table: str) -> DataFrame:
     return spark.read.parquet(f"{folder}/{table}.parquet")
 
 
+#: Shuffle files go when the statement that made them ends.
+TIDY = {"spark.sql.classic.shuffleDependency.fileCleanup.enabled": "true"}
+
+
 def saved(df: DataFrame, path: str) -> DataFrame:
     """``df`` written to a shared folder and read back, which cuts its lineage."""
-    df.write.mode("overwrite").parquet(path)
+    with session_conf(df.sparkSession, TIDY):
+        df.write.mode("overwrite").parquet(path)
     return df.sparkSession.read.schema(df.schema).parquet(path)
 
 
