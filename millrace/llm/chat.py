@@ -5,11 +5,11 @@ paths. A fingerprint selects a declarative mapping, which says where roles and
 texts are. Records may be typed columns (one layout per table) or JSON text
 (any mixture of layouts).
 
-A formatted conversation is a row of turns, each ``<|turn|>role<|text|>text
-<|end|>`` without the blanks. Inside roles and texts, the escape character and the start of every control
-string are escaped, so that no text can make a turn and formatting can be
-undone. The loss mask is a list of spans, in code points, of the assistants'
-texts in escaped form.
+A formatted conversation is a row of turns: ``<|turn|>``, the role,
+``<|text|>``, the text, ``<|end|>``. Inside roles and texts, every control
+string gets a backslash behind its first character, so that no text can make a
+turn and formatting can be undone. The loss mask is a list of spans, in code
+points, of the assistants' texts in escaped form.
 
 Defined results: a null text is empty, a null role is empty; turns are ordered
 by number, nulls first, ties by role and text; repeated turns are kept; a null

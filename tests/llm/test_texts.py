@@ -110,16 +110,19 @@ def test_language_without_training_rows(spark):
 
 # --- chat
 
-TEXT = st.text(
-    st.sampled_from(["<", "|", ">", "\\", "s", "/", "[", "]", "INST", "turn", "text", "end", "<|end|>", "</s>", "<|turn|>", "é", "\n"]),
-    max_size=12,
-)
+PARTS = ["<", "|", ">", "\\", "s", "/", "[", "]", "INST", "turn", "text", "end", "<|end|>", "</s>", "<|turn|>", "é", "\n"]
+TEXT = st.lists(st.sampled_from(PARTS), max_size=12).map("".join)
 
 
 def test_formatting_is_reversible(spark):
     texts = []
-    settings_ = settings(max_examples=300, database=None, deadline=None)
-    settings_(given(st.lists(st.tuples(st.sampled_from(["user", "assistant", "<|x", ""]), TEXT), max_size=4))(texts.append))()
+
+    @settings(max_examples=300, database=None, deadline=None)
+    @given(st.lists(st.tuples(st.sampled_from(["user", "assistant", "<|x", ""]), TEXT), max_size=4))
+    def collect(turns):
+        texts.append(turns)
+
+    collect()
     rows = spark.createDataFrame([(n, t) for n, t in enumerate(texts)], "id long, turns array<struct<role:string,text:string>>")
     chats = rows.select("id", "turns", chat.formatted(F.col("turns")).alias("c"))
     shown = chats.select(
