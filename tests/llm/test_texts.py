@@ -184,7 +184,7 @@ def test_conversations_with_nulls_ties_and_repeats(spark):
 def plain_spans(text):
     found = []
     for rank, rule in enumerate(secret_scan.RULES):
-        for m in re.finditer(rule.regex, text or ""):
+        for m in re.finditer(rule.regex, text or "", re.ASCII):  # letters in either case: A-Z
             if len(m[rule.group]) >= rule.least:
                 found.append((m.start(), rank, m.end()))
     return sorted(found)
@@ -246,8 +246,8 @@ def plain_verdict(url, rules, default="allow"):
     host = host.translate({c: c + 32 for c in range(65, 91)})
     fits = [
         (len(h + p), len(h), v == "block", h + p, v)
-        for h, p, v in rules
-        if h and v and host and ("." + host).endswith("." + h.lower()) and path.startswith(p or "")
+        for h, p, v in ((h, p or "", v) for h, p, v in rules)
+        if h and v and host and ("." + host).endswith("." + h.lower()) and path.startswith(p)
     ]
     best = max(fits, default=(0, 0, 0, None, default))
     return host, path, best[3], best[4]
