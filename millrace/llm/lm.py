@@ -42,7 +42,7 @@ from millrace.llm.words import mixed, word_hashes
 from millrace.session import scratch_path
 
 #: Tokens a task gathers before it hands their counts on, and tokens of a part.
-CHUNK, PART = 1 << 21, 1 << 21
+CHUNK, PART = 1 << 20, 1 << 21
 #: Occurrences from which a first word's bigrams are spread over all parts.
 HOT = 1 << 17
 END, START = np.uint64(0xE17A1465), np.uint64(0x57A27)
