@@ -132,8 +132,8 @@ def overlaps(
     found = []
     for block in range(blocks):
         own = seeds.where(F.pmod(F.xxhash64("item_id", "item"), F.lit(blocks)) == block)
-        # The first of a run of hits: the windows just before differ.
-        first = ~before("words", "at", masks).eqNullSafe(F.col("before"))
+        # The first of a run of hits: the windows just before differ, or there is none.
+        first = ~F.coalesce(before("words", "at", masks) == F.col("before"), F.lit(False))
         hits = at.join(F.broadcast(own), (at["hash"] == own["hash"]) & first)
         found.append(
             hits.select(

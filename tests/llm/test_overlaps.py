@@ -192,6 +192,25 @@ def test_overlaps_equal_brute_force(spark, monkeypatch):
     assert {r["doc_id"] for r in kept.collect()} == {d for d, _ in docs} - {d for d, _ in want}
 
 
+def test_documents_that_begin_with_an_item(spark):
+    r = random.Random(5)
+    words = [f"v{n}" for n in range(400)]
+    items = [(n, " ".join(r.choices(words, k=k))) for n, k in enumerate((40, 20, 13, 9, 7, 6, 4, 1))]
+    docs = [(n, passage) for n, passage in items]
+    docs += [(10 + n, passage + " " + " ".join(r.choices(words, k=25))) for n, passage in items]
+    docs += [(20 + n, " ".join(passage.split()[1:]) + " tail") for n, passage in items]
+    table = spark.createDataFrame(docs, "doc_id long, text string")
+    bench = spark.createDataFrame(items, "item_id long, text string")
+    want = plain_overlaps(docs, items)
+    assert want >= {(n, n) for n in range(8)} | {(10 + n, n) for n in range(8)} | {(20, 0), (21, 1)}
+    found = decontaminate.overlaps(table, bench).collect()
+    assert {(r["doc_id"], r["item_id"]) for r in found if r["item_id"] < 3 or r["doc_id"] < 20} == {
+        (d, i) for d, i in want if i < 3 or d < 20
+    }
+    kept = decontaminate.without_overlaps(table, bench).collect()
+    assert not {r["doc_id"] for r in kept} & {*range(8), *range(10, 18), 20, 21}
+
+
 # --- pipeline
 
 
