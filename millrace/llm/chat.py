@@ -3,7 +3,7 @@
 Every record's layout is told by a fingerprint: the hash of its nested field
 paths. A fingerprint selects a declarative mapping, which says where roles and
 texts are. Records may be typed columns (one layout per table) or JSON text
-(any mixture of layouts).
+(any mixture of layouts). Conversations given by turn become JSON records first.
 
 A formatted conversation is a row of turns: ``<|turn|>``, the role,
 ``<|text|>``, the text, ``<|end|>``. Inside roles and texts, every control
@@ -21,7 +21,7 @@ Other columns of the input are ignored. Only built-in functions are used.
 from __future__ import annotations
 
 import re
-from collections.abc import Sequence
+from collections.abc import Callable, Sequence
 from dataclasses import dataclass
 
 from pyspark.sql import Column, DataFrame
@@ -34,6 +34,8 @@ OPEN = "<|"
 FOREIGN = ("<s>", "</s>", "[INST]", "[/INST]", "<<SYS>>", "<</SYS>>")
 ROLES = {"human": "user", "prompter": "user", "gpt": "assistant", "bot": "assistant", "model": "assistant"}
 TURNS = "array<struct<role:string,text:string>>"
+#: Texts of any length; the parser's own limit would lose the whole record.
+JSON = {"maxStringLen": "2147483647"}
 
 
 @dataclass(frozen=True)
@@ -82,22 +84,41 @@ def paths_of(kind: T.DataType, at: str = "") -> list[str]:
 
 def fingerprint(paths: Column) -> Column:
     """The hash of a set of field paths."""
-    return F.xxhash64(F.array_join(F.array_sort(F.array_distinct(paths)), "\n"))
+    return F.xxhash64(F.array_join(F.sort_array(F.array_distinct(paths)), "\n"))
 
 
 def listed(paths: Sequence[str]) -> Column:
     return F.array(*(F.lit(p) for p in sorted(paths)))
 
 
+def let(value: Column, body: Callable[[Column], Column]) -> Column:
+    """``body`` of a value that is computed once."""
+    return F.get(F.transform(F.array(value), body), F.lit(0))
+
+
+def selected(
+    have: Column, layouts: Sequence[Layout], turns: Callable[[Layout], Column]
+) -> Column:
+    """The turns by the layout whose fingerprint the paths have; null without one."""
+
+    def choose(mark: Column) -> Column:
+        chosen = F.lit(None).cast(TURNS)
+        for layout in reversed(layouts):
+            chosen = F.when(mark == fingerprint(listed(layout.paths)), turns(layout)).otherwise(chosen)
+        return chosen
+
+    return let(fingerprint(have), choose)
+
+
 def json_paths(record: Column) -> Column:
     """The leaf paths of a JSON object, lists of objects one level down included.
 
     A field that is null or an empty list says nothing of a layout and is left out.
     """
-    top = F.from_json(record, "map<string,string>")
+    top = F.from_json(record, "map<string,string>", JSON)
 
     def below(name: Column, value: Column) -> Column:
-        items = F.from_json(value, "array<map<string,string>>")
+        items = F.from_json(value, "array<map<string,string>>", JSON)
         fields = F.flatten(F.transform(items, F.map_keys))
         nested = F.transform(fields, lambda field: F.concat(name, F.lit("[]."), field))
         return (
@@ -130,9 +151,9 @@ def part_turns(layout: Layout, field) -> Column:
     ).cast(TURNS)
 
 
-def list_turns(layout: Layout, items: Column) -> Column:
+def list_turns(layout: Layout, items: Column, roles: Callable[[Column], Column]) -> Column:
     return F.transform(
-        items, lambda i: F.struct(canonical(i[layout.role]).alias("role"), i[layout.text].alias("text"))
+        items, lambda i: F.struct(roles(i[layout.role]).alias("role"), i[layout.text].alias("text"))
     ).cast(TURNS)
 
 
@@ -142,36 +163,47 @@ def canonical(role: Column) -> Column:
     return F.coalesce(names[F.lower(role)], role)
 
 
-def turns_of_json(record: Column, layouts: Sequence[Layout] = LAYOUTS) -> Column:
+def as_given(role: Column) -> Column:
+    return role
+
+
+def turns_of_json(
+    record: Column,
+    layouts: Sequence[Layout] = LAYOUTS,
+    roles: Callable[[Column], Column] = canonical,
+) -> Column:
     """Canonical turns of records of any mixture of layouts, as JSON text."""
-    mark = fingerprint(json_paths(record))
-    chosen = F.lit(None).cast(TURNS)
-    for layout in reversed(layouts):
+
+    def turns(layout: Layout) -> Column:
         if layout.turns:
             schema = f"{layout.turns} array<struct<`{layout.role}`:string,`{layout.text}`:string>>"
-            turns = list_turns(layout, F.from_json(record, schema)[layout.turns])
-        else:
-            schema = ", ".join(f"`{name}` string" for name, _ in layout.parts)
-            parsed = F.from_json(record, schema)
-            turns = part_turns(layout, lambda name, parsed=parsed: parsed[name])
-        chosen = F.when(mark == fingerprint(listed(layout.paths)), turns).otherwise(chosen)
-    return chosen
+            return list_turns(layout, F.from_json(record, schema, JSON)[layout.turns], roles)
+        schema = ", ".join(f"`{name}` string" for name, _ in layout.parts)
+        return let(F.from_json(record, schema, JSON), lambda parsed: part_turns(layout, lambda name: parsed[name]))
 
+    return selected(json_paths(record), layouts, turns)
 
-def turns_of_columns(records: DataFrame, layouts: Sequence[Layout] = LAYOUTS) -> Column:
-    """Canonical turns of typed records: the layout whose paths the columns hold.
+
+def turns_of_columns(
+    records: DataFrame,
+    layouts: Sequence[Layout] = LAYOUTS,
+    roles: Callable[[Column], Column] = canonical,
+) -> Column:
+    """Canonical turns of typed records, by the fingerprint of those columns that a layout explains.
 
     The layout that explains most of the columns is taken; an exact match of
     all of them goes first by that.
     """
     have = set(paths_of(records.schema))
     fitting = [layout for layout in layouts if set(layout.paths) <= have]
-    if not fitting:
-        return F.lit(None).cast(TURNS)
-    layout = max(fitting, key=lambda x: len(x.paths))
-    if layout.turns:
-        return list_turns(layout, F.col(layout.turns))
-    return part_turns(layout, F.col)
+    explained = max((layout.paths for layout in fitting), key=len, default=())
+
+    def turns(layout: Layout) -> Column:
+        if layout.turns:
+            return list_turns(layout, F.col(layout.turns), roles)
+        return part_turns(layout, F.col)
+
+    return selected(listed(explained) if explained else F.array().cast("array<string>"), fitting, turns)
 
 
 def turns_of_rows(
@@ -269,9 +301,15 @@ def parsed(text: Column) -> Column:
     )
 
 
+def records_of_rows(rows: DataFrame, **names: str) -> DataFrame:
+    """One row per conversation, ``conv_id`` and a JSON ``record`` of it, from one row per turn."""
+    return turns_of_rows(rows, **names).select("conv_id", F.to_json(F.struct("turns")).alias("record"))
+
+
 def format_conversations(rows: DataFrame, **names: str) -> DataFrame:
-    """conv_id, formatted text and loss spans of conversations given by turn."""
-    turns = turns_of_rows(rows, **names)
+    """conv_id, formatted text and loss spans of conversations given by turn; roles stay as they are."""
+    records = records_of_rows(rows, **names)
+    turns = records.select("conv_id", turns_of_json(F.col("record"), roles=as_given).alias("turns"))
     return turns.select("conv_id", formatted(F.col("turns")).alias("chat")).select(
         "conv_id", F.col("chat.text").alias("text"), F.col("chat.loss_spans").alias("loss_spans")
     )

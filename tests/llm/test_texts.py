@@ -178,6 +178,28 @@ def test_conversations_with_nulls_ties_and_repeats(spark):
     assert chat.format_conversations(table.limit(0)).count() == 0
 
 
+def test_conversations_go_through_fingerprints(spark, monkeypatch):
+    odd = 'a "quoted" \\ [{"role": 1}]\n\t\x00\u2028 é \U0001f600 </s>'
+    rows = [(1, 0, "human", odd), (1, 1, "assistant", None), (2, 0, None, "x" * 21_000_000), (None, 0, odd, "")]
+    table = spark.createDataFrame(rows, "conv_id long, turn long, role string, text string")
+    marks = []
+    of = chat.fingerprint
+    monkeypatch.setattr(chat, "fingerprint", lambda paths: marks.append(paths) or of(paths))
+    chats = chat.format_conversations(table)
+    assert marks
+    found = chats.select("conv_id", F.length("text").alias("n"), F.when(~F.col("conv_id").eqNullSafe(2), chat.parsed(F.col("text"))).alias("turns"))
+    back = {r["conv_id"]: (r["n"], r["turns"] and [tuple(t) for t in r["turns"]]) for r in found.collect()}
+    assert back[1][1] == [("human", odd), ("assistant", "")]
+    assert back[None][1] == [(odd, "")]
+    assert back[2][0] == 21_000_000 + len(chat.TURN + chat.TEXT + chat.END)
+
+
+def test_typed_columns_are_selected_by_the_hash(spark, monkeypatch):
+    rows = spark.createDataFrame([("a", "b")], "prompt string, response string")
+    monkeypatch.setattr(chat, "fingerprint", lambda paths: F.rand())
+    assert rows.select(chat.turns_of_columns(rows)).first()[0] is None
+
+
 # --- secrets
 
 
