@@ -1,8 +1,9 @@
 """Chat formatting: heterogeneous records to canonical turns, then to one text.
 
-Every record's layout is told by a fingerprint: the hash of its nested field
-paths. A fingerprint selects a declarative mapping, which says where roles and
-texts are. Records may be typed columns (one layout per table) or JSON text
+Every record's layout is told by a fingerprint: the hash of those of its nested
+field paths that a layout knows. A fingerprint selects a declarative mapping,
+which says where roles and texts are. Other fields are ignored, and of several
+layouts that a record holds, the one with the most paths is taken. Records may be typed columns (one layout per table) or JSON text
 (any mixture of layouts). Conversations given by turn become JSON records first.
 
 A formatted conversation is a row of turns: ``<|turn|>``, the role,
@@ -99,36 +100,58 @@ def let(value: Column, body: Callable[[Column], Column]) -> Column:
 def selected(
     have: Column, layouts: Sequence[Layout], turns: Callable[[Layout], Column]
 ) -> Column:
-    """The turns by the layout whose fingerprint the paths have; null without one."""
+    """The turns by the layout whose fingerprint the paths have; null without one.
 
-    def choose(mark: Column) -> Column:
-        chosen = F.lit(None).cast(TURNS)
-        for layout in reversed(layouts):
-            chosen = F.when(mark == fingerprint(listed(layout.paths)), turns(layout)).otherwise(chosen)
-        return chosen
+    Paths of more than one layout match none as a whole. Then their part in
+    each layout is fingerprinted, layouts with more paths first.
+    """
+    order = sorted(layouts, key=lambda layout: -len(layout.paths))
+    marks = [fingerprint(listed(layout.paths)) for layout in order]
+
+    def number(have: Column) -> Column:
+        chosen = F.lit(None).cast("int")
+        for n, layout in reversed([*enumerate(order)]):
+            part = fingerprint(F.array_intersect(have, listed(layout.paths)))
+            chosen = F.when(part == marks[n], F.lit(n)).otherwise(chosen)
+
+        def whole(mark: Column) -> Column:
+            found = chosen
+            for n in reversed(range(len(order))):
+                found = F.when(mark == marks[n], F.lit(n)).otherwise(found)
+            return found
+
+        return let(fingerprint(have), whole)
 
-    return let(fingerprint(have), choose)
+    def choose(number: Column) -> Column:
+        found = F.lit(None).cast(TURNS)
+        for n, layout in reversed([*enumerate(order)]):
+            found = F.when(number == n, turns(layout)).otherwise(found)
+        return found
 
+    return let(let(have, number), choose)
 
-def json_paths(record: Column) -> Column:
-    """The leaf paths of a JSON object, lists of objects one level down included.
 
-    A field that is null or an empty list says nothing of a layout and is left out.
+def json_paths(record: Column, layouts: Sequence[Layout] = LAYOUTS) -> Column:
+    """Those leaf paths of a JSON object that a layout knows, lists of objects one level down included.
+
+    A field counts if it is null, too. An empty list says nothing of a layout.
     """
-    top = F.from_json(record, "map<string,string>", JSON)
+    known = {path for layout in layouts for path in layout.paths}
+    lists = sorted({layout.turns for layout in layouts if layout.turns})
 
-    def below(name: Column, value: Column) -> Column:
+    def nested(name: str, value: Column) -> Column:
         items = F.from_json(value, "array<map<string,string>>", JSON)
-        fields = F.flatten(F.transform(items, F.map_keys))
-        nested = F.transform(fields, lambda field: F.concat(name, F.lit("[]."), field))
-        return (
-            F.when(value.isNull() | (value == "[]"), F.array().cast("array<string>"))
-            .when(value.startswith("[") & (F.size(fields) > 0), nested)
-            .otherwise(F.array(name))
+        fields = F.flatten(F.transform(F.filter(items, lambda i: i.isNotNull()), F.map_keys))
+        paths = F.transform(fields, lambda field: F.concat(F.lit(f"{name}[]."), field))
+        return F.coalesce(paths, F.array().cast("array<string>"))
+
+    def paths(top: Column) -> Column:
+        # a text that looks like a list is one of its field all the same
+        return F.array_intersect(
+            F.concat(F.map_keys(top), *(nested(name, top[name]) for name in lists)), listed(known)
         )
 
-    entries = F.map_entries(top)
-    return F.flatten(F.transform(entries, lambda e: below(e["key"], e["value"])))
+    return let(F.from_json(record, "map<string,string>", JSON), paths)
 
 
 def part_turns(layout: Layout, field) -> Column:
@@ -181,7 +204,7 @@ def turns_of_json(
         schema = ", ".join(f"`{name}` string" for name, _ in layout.parts)
         return let(F.from_json(record, schema, JSON), lambda parsed: part_turns(layout, lambda name: parsed[name]))
 
-    return selected(json_paths(record), layouts, turns)
+    return selected(json_paths(record, layouts), layouts, turns)
 
 
 def turns_of_columns(
@@ -189,21 +212,17 @@ def turns_of_columns(
     layouts: Sequence[Layout] = LAYOUTS,
     roles: Callable[[Column], Column] = canonical,
 ) -> Column:
-    """Canonical turns of typed records, by the fingerprint of those columns that a layout explains.
-
-    The layout that explains most of the columns is taken; an exact match of
-    all of them goes first by that.
-    """
+    """Canonical turns of typed records, by the fingerprint of the columns that a layout knows."""
     have = set(paths_of(records.schema))
     fitting = [layout for layout in layouts if set(layout.paths) <= have]
-    explained = max((layout.paths for layout in fitting), key=len, default=())
+    known = have & {path for layout in fitting for path in layout.paths}
 
     def turns(layout: Layout) -> Column:
         if layout.turns:
             return list_turns(layout, F.col(layout.turns), roles)
         return part_turns(layout, F.col)
 
-    return selected(listed(explained) if explained else F.array().cast("array<string>"), fitting, turns)
+    return selected(listed(known).cast("array<string>"), fitting, turns)
 
 
 def turns_of_rows(

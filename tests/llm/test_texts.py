@@ -161,6 +161,27 @@ def test_layouts_are_told_by_fingerprint(spark):
         assert got == want, want
 
 
+def test_layouts_are_told_despite_other_fields_and_nulls(spark):
+    both = [("user", "a"), ("assistant", "b")]
+    records = {
+        '{"messages": [{"role": "user", "content": "a"}, {"role": "assistant", "content": "b"}], "id": 1}': both,
+        '{"messages": [{"role": "user", "content": "a", "name": "n"}, null, {"role": "assistant", "content": "b"}]}': [both[0], (None, None), both[1]],
+        '{"prompt": "a", "response": null}': [("user", "a"), ("assistant", "")],
+        '{"prompt": "a", "response": "b", "meta": {"x": [1]}, "tags": []}': both,
+        '{"prompt": "a", "response": "b", "answer": "c"}': both,
+        '{"prompt": "a", "response": "b", "completion": "c", "system": null}': both,
+        '{"prompt": "[{\\"k\\": 1}]", "response": "b"}': [("user", '[{"k": 1}]'), both[1]],
+        '{"prompt": "a", "id": 1}': None,
+    }
+    rows = spark.createDataFrame([(n, r) for n, r in enumerate(records)], "n long, record string")
+    found = rows.select("n", chat.turns_of_json(F.col("record")).alias("turns")).orderBy("n").collect()
+    for row, want in zip(found, records.values()):
+        got = row["turns"] and [tuple(t) if t else (None, None) for t in row["turns"]]
+        assert got == want, want
+    typed = spark.createDataFrame([("a", "b", "c", 1)], "prompt string, response string, answer string, id long")
+    assert [tuple(t) for t in typed.select(chat.turns_of_columns(typed)).first()[0]] == both
+
+
 def test_typed_columns_are_told_too(spark):
 
     rows = spark.createDataFrame([("a", "x", "b")], "instruction string, input string, output string")
