@@ -180,10 +180,15 @@ def log_odds(toxic: np.ndarray, other: np.ndarray) -> np.ndarray:
     return np.where(used & (sure > 0), sure, 0.0).astype(np.float32)
 
 
-def scale_of(clean: np.ndarray) -> float:
-    """The positive solution of mean(exp(lambda s)) = 1 over clean tokens' scores."""
+def scale_of(hits: np.ndarray, misses: int) -> float:
+    """The positive solution of mean(exp(lambda s)) = 1 over clean tokens' scores.
+
+    These are those of ``hits``, and ``-COST`` for each of the ``misses``.
+    """
     low, high = 1e-6, 1.0
-    mean = lambda x: np.exp(np.minimum(x * clean, 700)).mean()
+    mean = lambda x: (
+        np.exp(np.minimum(x * hits, 700)).sum() + misses * np.exp(-x * COST)
+    ) / (len(hits) + misses)
     while mean(high) < 1 and high < 256:
         high *= 2
     for _ in range(60):
@@ -257,7 +262,7 @@ def train(
     # One unseen token of the mean weight keeps lambda finite where clean text has no evidence at all.
     hits = [s for r in clean for s in r["scores"]] + [float(weights[weights > 0].mean()) if (weights > 0).any() else 1.0]
     misses = max(sum(r["tokens"] - r["inside"] for r in clean), 1)
-    scale = scale_of(np.concatenate([np.array(hits), np.full(min(misses, 5_000_000), -COST)]))
+    scale = scale_of(np.array(hits), misses)
     best = [scale * max(r["scores"], default=0.0) - np.log(max(r["tokens"], 1)) for r in clean]
     factor = float(np.exp(np.mean(best) - EULER)) if best else 1.0
     values = np.array(

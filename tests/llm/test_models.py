@@ -169,6 +169,13 @@ def test_toxic_texts_are_found(spark):
     assert 10 <= passage["start"] < passage["end"] <= 13
 
 
+def test_scale_follows_the_share_of_hits_at_any_size():
+    for hits in (50_000, 400_000, 1_000_000):  # 20 misses for each
+        scale = toxicity.scale_of(np.ones(hits), 20 * hits)
+        assert abs((np.exp(scale) + 20 * np.exp(-scale * toxicity.COST)) / 21 - 1) < 1e-9
+        assert abs(scale - toxicity.scale_of(np.ones(1000), 20_000)) < 1e-9
+
+
 def test_toxicity_without_labels_of_both_kinds(spark):
     docs, labels = tables(spark)
     none = toxicity.score(docs, toxicity.train(docs, labels.limit(0)))
