@@ -4,8 +4,9 @@ A token is a word; its features are the word itself and its first few bytes,
 so that compounds share evidence. For every feature, hashed to a bounded number
 of buckets, the log-odds between toxic and other texts are estimated with an
 informative Dirichlet prior, and lowered by their standard error. A text
-counts once for each of its features, and of texts that share their smallest
-hash of three words, which are copies in the main, one is counted. A token
+counts once for each of its features, and of texts with one label that agree in
+all of ``MINIMA`` smallest hashes of three words, which are copies, one is
+counted; texts of fewer words are copies if they are equal. A token
 scores the most that any of its features is surely worth; a token without
 evidence costs a fixed amount, so that chance segments of clean text score
 below zero on average.
@@ -49,6 +50,8 @@ PRIOR, ERRORS = 0.1, 1.5
 #: What a token without evidence costs, and what a segment must be worth.
 COST, SIGNIFICANT = 0.25, 1.0
 EULER = 0.5772156649
+#: Independent orders of three-word runs, in which copies have the same smallest one.
+MINIMA = 8
 GAPS = np.ones(256, bool)
 GAPS[[*range(48, 58), *range(65, 91), *range(97, 123), *range(128, 256)]] = False
 PASSAGES = "array<struct<start:int,end:int,worth:double>>"
@@ -139,16 +142,28 @@ def by_text(batch: pa.RecordBatch) -> Iterator[np.ndarray]:
         yield buckets[:, start:end]
 
 
+def copy_key(words: np.ndarray) -> int:
+    """What copies have in common: their smallest three-word hashes in ``MINIMA`` orders."""
+    words = words.astype(np.uint64)
+    if len(words) < 3:
+        found = words
+    else:
+        runs = mixed((words[:-2] << np.uint64(42)) ^ (words[1:-1] << np.uint64(21)) ^ words[2:])
+        orders = mixed(np.arange(1, MINIMA + 1, dtype=np.uint64))
+        found = np.array([mixed(runs ^ order).min() for order in orders])
+    key = np.full(1, len(found), np.uint64)
+    for value in found:
+        key = mixed(key ^ value)
+    return int(key[0] >> np.uint64(1))
+
+
 def copies(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    """doc_id and the smallest hash of three words in a row; texts with fewer have none."""
+    """doc_id, toxic and the key that copies share."""
     for batch in slices(batches, "text"):
-        keys = []
-        for own in by_text(batch):
-            words = own[0].astype(np.uint64)
-            runs = mixed((words[:-2] << np.uint64(42)) ^ (words[1:-1] << np.uint64(21)) ^ words[2:])
-            keys.append(int(runs.min() >> np.uint64(1)) if len(runs) else None)
+        keys = [copy_key(own[0]) for own in by_text(batch)]
         yield pa.RecordBatch.from_arrays(
-            [batch.column("doc_id"), pa.array(keys, pa.int64())], ["doc_id", "key"]
+            [batch.column("doc_id"), batch.column("toxic"), pa.array(keys, pa.int64())],
+            ["doc_id", "toxic", "key"],
         )
 
 
@@ -222,8 +237,10 @@ def train(
     if not shares[0] or not shares[1] or shares[0] == shares[1]:
         nothing = np.zeros(BUCKETS, np.float32)
         return Model(nothing, 1.0, 1.0, 0.0, 0.0, (shares[1] or 0) / max(shares[0], 1))
-    keyed = rows.select("doc_id", "text").mapInArrow(copies, "doc_id long, key long")
-    one_each = keyed.where("key is not null").groupBy("key").agg(F.min("doc_id").alias("doc_id"))
+    keyed = rows.select("doc_id", "toxic", "text").mapInArrow(
+        copies, "doc_id long, toxic boolean, key long"
+    )
+    one_each = keyed.groupBy("key", "toxic").agg(F.min("doc_id").alias("doc_id"))
     counted = (
         rows.join(F.broadcast(one_each.select("doc_id").distinct()), "doc_id")  # of SAMPLE_ROWS
         .select("toxic", "half", "text")

@@ -6,6 +6,7 @@ import re
 from collections import Counter, defaultdict
 
 import numpy as np
+import pyarrow as pa
 import pytest
 
 from millrace.llm import ann, lm, toxicity
@@ -176,6 +177,24 @@ def test_scale_follows_the_share_of_hits_at_any_size():
         assert abs(scale - toxicity.scale_of(np.ones(1000), 20_000)) < 1e-9
 
 
+def test_texts_with_a_shared_passage_are_no_copies(spark):
+    r = random.Random(3)
+    shared = " ".join(f"boiler{n}" for n in range(60))
+    rows = [(n, n % 2, shared + " " + " ".join(f"own{r.randrange(10**6)}" for _ in range(40))) for n in range(30)]
+    rows += [(100, 0, rows[0][2]), (101, 1, rows[0][2]), (102, 0, rows[0][2]), (200, 1, "vilething"), (201, 0, "vilething"), (202, 1, "vilething"), (203, 1, "two words")]
+    batch = pa.RecordBatch.from_arrays([pa.array(c) for c in zip(*rows)], ["doc_id", "toxic", "text"])
+    keys = {}
+    for found in toxicity.copies(iter([batch])):
+        for row in found.to_pylist():
+            keys.setdefault((row["key"], row["toxic"]), []).append(row["doc_id"])
+    alike = [ids for ids in keys.values() if len(ids) > 1]
+    assert sorted(alike) == [[0, 100, 102], [200, 202]]
+    table = spark.createDataFrame([(i, t) for i, _, t in rows], "doc_id long, text string")
+    labels = spark.createDataFrame([(i, k) for i, k, _ in rows], "doc_id long, toxic int")
+    short = table.where("doc_id >= 200"), labels.where("doc_id >= 200")
+    assert (toxicity.train(*short).constant) is None
+
+
 def test_toxicity_without_labels_of_both_kinds(spark):
     docs, labels = tables(spark)
     none = toxicity.score(docs, toxicity.train(docs, labels.limit(0)))
