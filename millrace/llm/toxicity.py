@@ -22,7 +22,7 @@ weights from the other.
 Defined results: null and empty texts have no passages and get the score of
 none; without labelled rows of both kinds every score is the share of toxic
 ones (0 without any); very long texts are scanned whole; repeated rows are
-scored once each; a document labelled twice is toxic if one label says so;
+scored once each, and of a labelled id's texts one teaches; a document labelled twice is toxic if one label says so;
 null ids and labels teach nothing; an empty table gives no rows. Columns other
 than id and text are no input of a score.
 """
@@ -41,7 +41,7 @@ from millrace.llm.tables import saved, slices
 from millrace.llm.words import mixed, word_hashes
 from millrace.session import scratch_path
 
-#: Labelled rows the model is fitted on, at most: those whose ids hash lowest.
+#: Labelled rows the model is fitted on, at most: one text of each of the ids that hash lowest.
 SAMPLE_ROWS = 20_000
 #: Buckets of features, a power of two; bytes of a word's heads.
 BUCKETS, HEADS = 1 << 22, (4, 5, 6, 8)
@@ -131,7 +131,12 @@ def sample(docs: DataFrame, labels: DataFrame, doc_id: str, text: str) -> DataFr
         F.coalesce(F.col(text).cast("string"), F.lit("")).alias("text"),
     )
     half = F.pmod(F.xxhash64("doc_id", F.lit(1)), F.lit(2)).cast("int")
-    return texts.join(F.broadcast(chosen), "doc_id").select("doc_id", "toxic", half.alias("half"), "text")
+    one_each = (
+        texts.join(F.broadcast(chosen), "doc_id")
+        .groupBy("doc_id", "toxic")
+        .agg(F.min(F.struct(F.xxhash64("text").alias("hash"), "text")).alias("first"))
+    )  # combined before the shuffle, whatever rows an id has
+    return one_each.select("doc_id", "toxic", half.alias("half"), "first.text")
 
 
 def by_text(batch: pa.RecordBatch) -> Iterator[np.ndarray]:

@@ -195,6 +195,15 @@ def test_texts_with_a_shared_passage_are_no_copies(spark):
     assert (toxicity.train(*short).constant) is None
 
 
+def test_the_sample_has_one_text_of_an_id(spark):
+    docs = spark.range(5000).selectExpr("id % 3 * (id % 2) as doc_id", "concat('text ', id) as text")
+    labels = spark.createDataFrame([(0, 1), (1, 0), (2, 1), (7, 1)], "doc_id long, toxic int")
+    found = toxicity.sample(docs, labels, "doc_id", "text").collect()
+    assert sorted(r["doc_id"] for r in found) == [0, 1, 2]
+    again = toxicity.sample(docs.repartition(5), labels, "doc_id", "text").collect()
+    assert sorted(map(tuple, found)) == sorted(map(tuple, again))
+
+
 def test_toxicity_without_labels_of_both_kinds(spark):
     docs, labels = tables(spark)
     none = toxicity.score(docs, toxicity.train(docs, labels.limit(0)))
