@@ -15,10 +15,13 @@ from millrace.llm import (
     jaccard_join,
     language,
     lm,
+    merkle,
     packing,
     secret_scan,
+    topk,
     toxicity,
     url_rules,
+    whitening,
 )
 from millrace.llm.tables import read
 
@@ -298,3 +301,131 @@ def neighbours(spark: SparkSession, folder: str) -> DataFrame:
     """The ten nearest neighbours found of every hundredth vector."""
     vectors = read(spark, folder, "embeddings").select("vec_id", "embedding")
     return ann.search(vectors, vectors.where(F.col("vec_id") % 100 == 0))
+
+
+@query("op11_whitening")
+def whitened(spark: SparkSession, folder: str) -> DataFrame:
+    """Every vector in the directions of most variance of the distinct ones."""
+    return whitening.whiten(read(spark, folder, "embeddings").select("vec_id", "embedding"))
+
+
+@query(
+    "op12_topk",
+    """
+    WITH vectors AS (
+        SELECT vec_id, list_transform(embedding, lambda c: floor(1024 * CAST(c AS DOUBLE))) AS x
+        FROM embeddings
+        WHERE embedding IS NOT NULL
+            AND len(list_filter(embedding, lambda c: c IS NOT NULL AND isfinite(c))) = len(embedding)),
+    queries AS (SELECT vec_id, min(x) AS x FROM vectors WHERE vec_id % 100 = 0 GROUP BY vec_id),
+    scored AS (
+        SELECT q.vec_id AS query_id, r.vec_id,
+            CAST(list_sum(list_transform(list_zip(q.x, r.x),
+                lambda p: coalesce(p[1], 0) * coalesce(p[2], 0))) AS BIGINT) AS score
+        FROM queries q JOIN vectors r ON r.vec_id IS DISTINCT FROM q.vec_id),
+    ranked AS (
+        SELECT *, row_number() OVER (PARTITION BY query_id ORDER BY score DESC, vec_id NULLS LAST) AS n
+        FROM scored)
+    SELECT query_id, CAST(n AS INTEGER) AS rank, vec_id, score FROM ranked WHERE n <= 10
+    """,
+)
+def best_matches(spark: SparkSession, folder: str) -> DataFrame:
+    """The ten rows of the highest inner product with every hundredth vector."""
+    vectors = read(spark, folder, "embeddings").select("vec_id", "embedding")
+    found = topk.search(vectors, vectors.where(F.col("vec_id") % 100 == 0))
+    return found.withColumn("score", F.expr("try_cast(score AS long)"))
+
+
+MERKLE_FIELDS = ("doc_id", "source", "lang", "n_chars", "text")
+
+
+#: The CRC-32 of a short text, bit by bit, from its published polynomial.
+CRC32_SQL = """xor(4294967295::BIGINT, list_reduce(list_prepend(4294967295::BIGINT,
+    list_transform(range(1, 1 + length(CAST(doc_id AS VARCHAR))),
+        lambda i: ascii(substr(CAST(doc_id AS VARCHAR), i, 1))::BIGINT)),
+    lambda crc, byte: list_reduce(list_prepend(xor(crc, byte), range(8)),
+        lambda x, _: CASE WHEN x % 2 = 1 THEN xor(x >> 1, 3988292384::BIGINT) ELSE x >> 1 END)))"""
+
+
+def merkle_sql() -> str:
+    """Whole levels one after the other, then each leaf's siblings by their places."""
+
+    def leaf(n_chars: str) -> str:
+        values = [n_chars if c == "n_chars" else f"CAST({c} AS VARCHAR)" for c in MERKLE_FIELDS]
+        fields = (f"coalesce(strlen({v}) || ':' || {v}, '-')" for v in values)
+        return f"sha256({' || '.join(fields)})"
+
+    def levels(name: str, leaves: str) -> str:
+        # a level's nodes in pairs, as long as a tree has more than one
+        return f"""
+        {name} AS (
+            SELECT tree, 0 AS level, pos, digest, many FROM {leaves}
+            UNION ALL
+            SELECT tree, level + 1, pos // 2, sha256(string_agg(digest, '' ORDER BY pos)), (many + 1) // 2
+            FROM {name} WHERE many > 1 GROUP BY tree, level, pos // 2, many)"""
+
+    return f"""
+    WITH RECURSIVE hashed AS (
+        SELECT doc_id, lang, {leaf("CAST(n_chars AS VARCHAR)")} AS leaf,
+            CASE WHEN doc_id IS NOT NULL AND crc32_of % 7 = 0
+                THEN {leaf("CAST(n_chars + 1 AS VARCHAR)")} END AS tampered
+        FROM (SELECT *, {CRC32_SQL} AS crc32_of FROM documents)),
+    leaves AS (
+        SELECT *, coalesce('=' || lang, '') AS tree, leaf AS digest, count(*) OVER (PARTITION BY lang) AS many,
+            row_number() OVER (PARTITION BY lang ORDER BY doc_id NULLS FIRST, leaf) - 1 AS pos
+        FROM hashed),
+    {levels("nodes", "leaves")},
+    tops AS (
+        SELECT '' AS tree, tree AS own, digest, count(*) OVER () AS many,
+            row_number() OVER (ORDER BY encode(tree)) - 1 AS pos
+        FROM nodes WHERE many = 1),
+    {levels("above", "tops")},
+    siblings AS (
+        SELECT l.tree, l.pos, 0 AS part, n.level, n.pos % 2 = 0 AS on_left, n.digest
+        FROM leaves l JOIN nodes n ON n.tree = l.tree AND n.pos = xor(l.pos >> n.level, 1) AND n.many > 1
+        UNION ALL
+        SELECT l.tree, l.pos, 1, n.level, n.pos % 2 = 0, n.digest
+        FROM leaves l JOIN tops t ON t.own = l.tree
+            JOIN above n ON n.pos = xor(t.pos >> n.level, 1) AND n.many > 1),
+    paths AS (
+        SELECT tree, pos, string_agg(digest, '' ORDER BY part, level) AS proof FROM siblings GROUP BY tree, pos),
+    steps AS (
+        SELECT l.tree, l.pos, n.part, n.level, row_number() OVER (PARTITION BY l.tree, l.pos ORDER BY n.part, n.level) AS step
+        FROM leaves l JOIN (
+            SELECT DISTINCT tree, 0 AS part, level FROM nodes WHERE many > 1
+            UNION ALL SELECT DISTINCT t.own, 1, a.level FROM above a, tops t WHERE a.many > 1) n ON n.tree = l.tree),
+    folds AS (
+        SELECT tree, pos, 0::BIGINT AS step, coalesce(tampered, leaf) AS digest FROM leaves
+        UNION ALL
+        SELECT f.tree, f.pos, s.step, sha256(CASE WHEN b.on_left THEN b.digest ELSE '' END || f.digest
+            || CASE WHEN NOT b.on_left THEN b.digest ELSE '' END)
+        FROM folds f JOIN steps s ON s.tree = f.tree AND s.pos = f.pos AND s.step = f.step + 1
+            LEFT JOIN siblings b ON b.tree = f.tree AND b.pos = f.pos AND b.part = s.part AND b.level = s.level),
+    ends AS (SELECT tree, pos, arg_max(digest, step) AS folded_root FROM folds GROUP BY tree, pos),
+    root AS (SELECT digest AS root FROM above WHERE many = 1)
+    SELECT l.doc_id, l.leaf, t.digest AS subroot, root, sha256(coalesce(proof, '')) AS proof_sha256,
+        folded_root, folded_root = root AS verified
+    FROM leaves l JOIN tops t ON t.own = l.tree CROSS JOIN root
+        LEFT JOIN paths p ON p.tree = l.tree AND p.pos = l.pos
+        JOIN ends e ON e.tree = l.tree AND e.pos = l.pos
+    """
+
+
+@query("op13_merkle", merkle_sql())
+def proofs(spark: SparkSession, folder: str) -> DataFrame:
+    """Every document's Merkle proof, folded again from a tampered leaf for a seventh of them."""
+    docs = read(spark, folder, "documents")
+    more = F.col("n_chars").cast("decimal(20,0)") + 1
+    tampered = merkle.leaf(*[more if c == "n_chars" else F.col(c) for c in MERKLE_FIELDS])
+    manifest = merkle.build(
+        docs, [F.col(c) for c in MERKLE_FIELDS], group="lang", order="doc_id",
+        kept=[F.col("doc_id"), F.when(fold("doc_id", 7) == 0, tampered).alias("tampered")],
+    )
+    start = F.coalesce("kept.tampered", "leaf")
+    found = manifest.prove().withColumn("folded_root", merkle.folded(start, F.col("path")))
+    return found.select(
+        "kept.doc_id", "leaf", "subroot", "root",
+        merkle.path_digest(F.col("path")).alias("proof_sha256"),
+        "folded_root",
+        (F.col("folded_root") == F.col("root")).alias("verified"),
+    )
