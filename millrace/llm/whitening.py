@@ -258,12 +258,12 @@ def triangle(rows: np.ndarray, width: int) -> np.ndarray:
 
 
 def by_width(batch: pa.RecordBatch, column: str = "x") -> Iterator[tuple[int, np.ndarray, np.ndarray]]:
-    """Vectors of a batch as matrices, with the rows they came from."""
+    """Vectors of a batch as matrices, with the rows they came from; empty ones are left out."""
     lists = batch.column(column)
     flat = np.asarray(lists.flatten())
     lengths = np.asarray(lists.value_lengths())
     starts = np.cumsum(lengths) - lengths
-    for width in np.unique(lengths):
+    for width in np.unique(lengths[lengths > 0]):
         at = np.flatnonzero(lengths == width)
         yield int(width), at, flat[starts[at][:, None] + np.arange(width)]
 
@@ -419,7 +419,8 @@ def fitted(fit: DataFrame, folder: str, components: int) -> dict[int, Whitening]
         values, rows = directions(factor, components)
         trace = float((factor**2).sum())
         n = known[width].n
-        models[width] = Whitening(known[width], values / n, rows, values / trace if trace else values)
+        share = np.minimum(values / trace, 1.0) if trace else values
+        models[width] = Whitening(known[width], values / n, rows, share)
     errors = identity_errors(fit, models)
     return {w: replace(m, identity_error=errors.get(w, 0.0)) for w, m in models.items()}
 
