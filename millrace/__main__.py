@@ -4,10 +4,12 @@ from __future__ import annotations
 
 import argparse
 import logging
+import sys
 
 from millrace.functions.calendar import run_date
+from millrace.plans.graph import FAIR, run_graph
 from millrace.plans.lake import Lake
-from millrace.plans.runner import ALL_TABLES, find_table, run_all
+from millrace.plans.runner import ALL_TABLES, LATE_TABLES, find_table
 from millrace.session import build_session
 from millrace.sources.documents import collection_documents, json_documents
 from millrace.sources.relational import JdbcRelations
@@ -22,6 +24,11 @@ def parse(argv: list[str] | None = None) -> argparse.Namespace:
     parser.add_argument(
         "--table", action="append", help="layer/source/table; all tables if left out"
     )
+    parser.add_argument("--tables_at_once", type=int, default=4)
+    parser.add_argument(
+        "--late_events", action="store_true",
+        help="take events of earlier days that arrived late, and count their facts anew",
+    )
     parser.add_argument("--jdbc_url")
     parser.add_argument("--jdbc_user", default="")
     parser.add_argument("--jdbc_password", default="")
@@ -37,7 +44,7 @@ def parse(argv: list[str] | None = None) -> argparse.Namespace:
 def main(argv: list[str] | None = None) -> None:
     args = parse(argv)
     logging.basicConfig(level=logging.INFO)
-    spark = build_session("millrace")
+    spark = build_session("millrace", **FAIR)
     relations = None
     if args.jdbc_url:
         login = {"user": args.jdbc_user, "password": args.jdbc_password}
@@ -57,10 +64,14 @@ def main(argv: list[str] | None = None) -> None:
         )
 
     lake = Lake(spark, args.root, args.environment, relations, documents, args.owner)
-    tables = [find_table(path) for path in args.table] if args.table else ALL_TABLES
-    for result in run_all(lake, args.execution_date, tables):
-        logging.info("%s: %s, %d rows", result.table, result.status, result.rows)
+    known = LATE_TABLES if args.late_events else ALL_TABLES
+    tables = [find_table(path, known) for path in args.table] if args.table else known
+    outcomes = run_graph(lake, args.execution_date, tables, args.tables_at_once)
+    for outcome in outcomes.values():
+        logging.info("%s: %s, %d rows %s", outcome.table, outcome.status, outcome.rows, outcome.why)
     spark.stop()
+    if not all(outcome.ok for outcome in outcomes.values()):
+        sys.exit(1)
 
 
 if __name__ == "__main__":

@@ -425,12 +425,15 @@ SELECT * FROM (
 WHERE valor_minimo < valor_maximo AND faixa_normal_min < faixa_normal_max"""
 
 
-def statuses_bronze(spark: SparkSession, folder: str) -> DataFrame:
+def statuses(spark: SparkSession, folder: str) -> DataFrame:
     o = table(spark, folder, "orders")
-    found = o.groupBy(F.col("o_orderpriority").alias("nome")).agg(
+    return o.groupBy(F.col("o_orderpriority").alias("nome")).agg(
         F.min("o_orderkey").cast("string").alias("id")
     )
-    return _two_extracts(found, {"nome": F.lower("nome")})
+
+
+def statuses_bronze(spark: SparkSession, folder: str) -> DataFrame:
+    return _two_extracts(statuses(spark, folder), {"nome": F.lower("nome")})
 
 
 SQL_STATUSES = """
@@ -440,7 +443,10 @@ FROM orders GROUP BY o_orderpriority"""
 
 def readings(spark: SparkSession, folder: str) -> DataFrame:
     """Every line item as a reading; ids repeat, some values are not numbers."""
-    li = table(spark, folder, "lineitem")
+    return readings_of(table(spark, folder, "lineitem"))
+
+
+def readings_of(li: DataFrame) -> DataFrame:
     flag = F.col("l_returnflag")
     return li.select(
         F.concat_ws("-", F.col("l_orderkey").cast("string"), F.col("l_linenumber").cast("string"))
@@ -470,7 +476,10 @@ FROM lineitem"""
 
 
 def reading_metadata(spark: SparkSession, folder: str) -> DataFrame:
-    li = table(spark, folder, "lineitem")
+    return reading_metadata_of(table(spark, folder, "lineitem"))
+
+
+def reading_metadata_of(li: DataFrame) -> DataFrame:
     return li.select(
         F.concat_ws("-", F.col("l_orderkey").cast("string"), F.col("l_linenumber").cast("string"))
         .alias("leitura_id"),

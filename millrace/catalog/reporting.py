@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+from functools import reduce
+
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
@@ -19,8 +21,9 @@ from millrace.operators.columns import pick
 from millrace.operators.quality import QualityError, complete, evaluate, non_negative
 from millrace.plans import reports, silver
 from millrace.plans.gold import FACTORY_COLUMNS
+from millrace.plans.graph import run_graph
 from millrace.plans.lake import Lake
-from millrace.plans.runner import find_table, run
+from millrace.plans.runner import ALL_TABLES, LATE_TABLES, find_table, run
 from millrace.plans.spec import TableSpec
 from millrace.session import scratch_path
 from millrace.sources.documents import flatten_equipment
@@ -256,10 +259,101 @@ def _day_run(spark, d, times: int):
     return fact.drop("_execution_date", "_processed_at", "_data_source")
 
 
+def _plant(spark, d) -> Lake:
+    """A lake over all sources, without the rows whose state no table accepts."""
+
+    def source(name: str) -> DataFrame:
+        shifted = F.date_add(F.lit(RUN), -F.col("l_linenumber")).cast("timestamp")
+        lines = i.table(spark, d, "lineitem").withColumn("l_shipdate", shifted)
+        stamps = ("_execution_date", "_processed_at")
+        tables = {
+            "fabricas": lambda: i.factories(spark, d),
+            "equipamentos": lambda: i.equipment(spark, d).filter("status <> 'quebrado'"),
+            "sensores": lambda: i.sensors(spark, d).filter("status <> 'quebrado'"),
+            "tipos_equipamento": lambda: i.equipment_types(spark, d),
+            "tipos_medicao": lambda: i.types(spark),
+            "status_qualidade": lambda: i.statuses(spark, d),
+            "leituras": lambda: i.readings_of(lines).filter("valor <> 'err'").drop(*stamps)
+            .withColumn("valor", F.col("valor").cast("decimal(12,2)")),
+            "metadados_leitura": lambda: i.reading_metadata_of(lines).drop(*stamps),
+        }
+        return tables[name]()
+
+    def documents() -> DataFrame:
+        return i.documents(spark, d).filter("status <> 'broken'")
+
+    root = scratch_path(spark, "plant")
+    lake = Lake(spark, root, "hmg", FrameRelations(source), documents)
+    batch_writer(lake.events_path)(classify(i.messages(spark, d)), 0)
+    return lake
+
+
+def _whole_run(spark, d) -> Lake:
+    lake = _plant(spark, d)
+    outcomes = run_graph(lake, RUN)
+    if not all(outcome.status == "loaded" for outcome in outcomes.values()):
+        raise RuntimeError(f"not loaded: {[o for o in outcomes.values() if o.status != 'loaded']}")
+    return lake
+
+
 @query("job06", _DAY_FACT)
 def job06(spark, d):
-    """Layers in order: messages, silver events, daily fact."""
-    return _day_run(spark, d, 1)
+    """All tables of all layers, each once those it reads are loaded: the daily fact."""
+    fact = _whole_run(spark, d).read("gold/fct/fct_anomalias_dia")
+    return fact.drop("_execution_date", "_processed_at", "_data_source")
+
+
+_DAY_EVENTS = f"""SELECT *, "timestamp" + CASE k WHEN 14 THEN INTERVAL 3 HOUR ELSE INTERVAL 0 HOUR END AS momento
+    FROM ({_VALID}) WHERE k <> 12 AND dt = DATE '{RUN}'"""
+_HOUR_GROUPS = f"""SELECT 1 FROM ({_DAY_EVENTS})
+    GROUP BY time_bucket(INTERVAL 1 HOUR, momento), sensor_id, equipment_id, factory_id, measurement_type"""
+_TABLE_COUNTS = {
+    "postgres/fabricas": ("SELECT 1 FROM nation",) * 2,
+    "postgres/equipamentos": ("SELECT 1 FROM supplier WHERE s_acctbal >= 0",) * 2,
+    "postgres/sensores": ("SELECT 1 FROM customer WHERE c_acctbal >= 0",) * 2,
+    "postgres/tipos_equipamento": ("SELECT DISTINCT p_type FROM part",) * 2,
+    "postgres/tipos_medicao": (i.SQL_TYPES,) * 2,
+    "postgres/status_qualidade": ("SELECT DISTINCT o_orderpriority FROM orders",) * 2,
+    "postgres/leituras": (
+        "SELECT 1 FROM lineitem WHERE l_discount <> 0",
+        "SELECT DISTINCT l_orderkey, l_linenumber FROM lineitem WHERE l_discount <> 0",
+    ),
+    "postgres/metadados_leitura": (
+        """SELECT 1 FROM lineitem WHERE (l_orderkey, l_linenumber) IN
+           (SELECT (l_orderkey, l_linenumber) FROM lineitem WHERE l_discount <> 0)""",
+        "SELECT DISTINCT l_orderkey, l_linenumber FROM lineitem WHERE l_discount <> 0",
+    ),
+    "mongo/equipamentos": ("SELECT 1 FROM supplier WHERE s_acctbal >= 0",) * 2,
+}
+_GOLD_COUNTS = {
+    "gold/dim/dim_tempo": "SELECT 1 FROM range(24)",
+    "gold/dim/dim_fabrica": "SELECT 1 FROM nation",
+    "gold/dim/dim_equipamento": "SELECT 1 FROM supplier WHERE s_acctbal >= 0",
+    "gold/dim/dim_sensor": "SELECT 1 FROM customer WHERE c_acctbal >= 0",
+    "gold/dim/dim_tipo_medicao": i.SQL_TYPES,
+    "gold/fct/fct_leituras_hora": _HOUR_GROUPS,
+    "gold/fct/fct_anomalias_dia": _DAY_FACT,
+    "silver/kafka/sensor_events": _DAY_EVENTS,
+}
+_JOB06_TABLES = " UNION ALL ".join(
+    f"SELECT '{path}' AS tabela, count(*) AS linhas FROM ({sql})"
+    for path, sql in [
+        *((f"bronze/{t}", sql[0]) for t, sql in _TABLE_COUNTS.items()),
+        *((f"silver/{t}", sql[1]) for t, sql in _TABLE_COUNTS.items()),
+        *_GOLD_COUNTS.items(),
+    ]
+)
+
+
+@query("job06_tables", _JOB06_TABLES)
+def job06_tables(spark, d):
+    """The rows of every table after one run of all."""
+    lake = _whole_run(spark, d)
+    counts = [
+        lake.read(spec.path).agg(F.lit(spec.path).alias("tabela"), F.count(F.lit(1)).alias("linhas"))
+        for spec in ALL_TABLES
+    ]
+    return reduce(DataFrame.unionByName, counts)
 
 
 @query("job07", _DAY_FACT)
@@ -268,6 +362,48 @@ def job07(spark, d):
     return _day_run(spark, d, 2)
 
 
+# -- events that arrive after their day was loaded --------------------------
+
+LAST = run_date("2024-01-31")
+_ALL_MOMENTS = f"""SELECT *, "timestamp" + CASE k WHEN 14 THEN INTERVAL 3 HOUR ELSE INTERVAL 0 HOUR END AS momento
+    FROM ({_VALID}) WHERE k NOT IN (12, 13)"""
+
+
+def _late_run(spark, d, path: str) -> DataFrame:
+    """A third of the messages, a run in the middle of the month, then the rest and another run."""
+    lake = _lake(spark, d)
+    write, all_ = batch_writer(lake.events_path), i.messages(spark, d)
+    in_time = F.col("offset") % 3 == 0
+    for batch, (part, day) in enumerate([(in_time, RUN), (~in_time, LAST)]):
+        write(classify(all_.filter(part)), batch)
+        for table in dict.fromkeys(("silver/kafka/sensor_events", path)):
+            run(lake, find_table(table, LATE_TABLES), day)
+    return lake.read(path)
+
+
+@query(
+    "slv10_late",
+    f"""SELECT event_id, sensor_id, equipment_id, factory_id, measurement_type, round(value, 2) AS value,
+        date_trunc('second', momento) AS "timestamp", quality, is_anomaly,
+        CASE WHEN n % 3 = 0 AND dt <= DATE '{RUN}' THEN DATE '{RUN}' ELSE DATE '{LAST}' END AS _execution_date
+        FROM ({_ALL_MOMENTS})""",
+)
+def slv10_late(spark, d):
+    """Events of days that were loaded before they came: each is read once, by the next run."""
+    found = _late_run(spark, d, "silver/kafka/sensor_events")
+    return found.select(
+        "event_id", "sensor_id", "equipment_id", "factory_id", "measurement_type", "value",
+        i.ntz("timestamp").alias("timestamp"), "quality", "is_anomaly", "_execution_date",
+    )
+
+
+@query("gld07_late", _DAY_FACT.replace(f"k <> 12 AND dt = DATE '{RUN}'", "k NOT IN (12, 13)"))
+def gld07_late(spark, d):
+    """The days that late events touched are counted anew, from all their events."""
+    fact = _late_run(spark, d, "gold/fct/fct_anomalias_dia")
+    return fact.drop("_execution_date", "_processed_at", "_data_source")
+
+
 def _loaded(lake: Lake, path: str, df: DataFrame, keys: tuple[str, ...] = ()) -> DataFrame:
     """A table of no declared rules, loaded with ``df`` and read back."""
     run(lake, TableSpec(path, lambda *_: df, keys=keys), RUN)

@@ -151,6 +151,7 @@ DIMENSIONS = (
         ),
         complete(*FACTORY_COLUMNS),
         keys=("fabrica_id",),
+        reads=("silver/postgres/fabricas",),
     ),
     TableSpec(
         "gold/dim/dim_equipamento",
@@ -164,6 +165,11 @@ DIMENSIONS = (
             *complete("tipo_equipamento", "periodicidade_manutencao", level=W),
         ),
         keys=("equipment_id",),
+        reads=(
+            "silver/postgres/equipamentos",
+            "silver/postgres/tipos_equipamento",
+            "silver/mongo/equipamentos",
+        ),
     ),
     TableSpec(
         "gold/dim/dim_sensor",
@@ -172,6 +178,7 @@ DIMENSIONS = (
         ),
         complete("sensor_id", "equipment_id", "tipo_medicao_id", "status"),
         keys=("sensor_id",),
+        reads=("silver/postgres/sensores",),
     ),
     TableSpec(
         "gold/dim/dim_tipo_medicao",
@@ -180,6 +187,7 @@ DIMENSIONS = (
         ),
         complete(*TYPE_COLUMNS),
         keys=("tipo_medicao_id",),
+        reads=("silver/postgres/tipos_medicao",),
     ),
 )
 
@@ -197,6 +205,7 @@ FACTS = (
         null_safe=("tipo_medicao_id",),
         partition_by=("measurement_type", "_execution_date"),
         replaces_day=True,
+        reads=("silver/kafka/sensor_events", "silver/postgres/tipos_medicao"),
     ),
     TableSpec(
         "gold/fct/fct_anomalias_dia",
@@ -205,6 +214,7 @@ FACTS = (
         keys=DAY_KEYS,
         partition_by=("_execution_date",),
         replaces_day=True,
+        reads=("silver/kafka/sensor_events",),
     ),
 )
 

@@ -21,10 +21,11 @@ from millrace.operators.quality import (
     report,
 )
 from millrace.plans.bronze import BRONZE
-from millrace.plans.gold import DIMENSIONS, FACTS
+from millrace.plans.gold import DIMENSIONS, FACTS, RECOMPUTED_FACTS
 from millrace.plans.lake import Lake
-from millrace.plans.silver import SILVER
-from millrace.plans.spec import TableSpec
+from millrace.plans.silver import LATE_EVENTS, SILVER
+from millrace.plans.spec import Consuming, TableSpec
+from millrace.sources.key_index import KeyIndex
 from millrace.sources.plain import overwrite_partitions
 from millrace.sources.tables import key_bounds, key_ranges
 
@@ -33,6 +34,11 @@ log = logging.getLogger(__name__)
 # A layer only reads the ones before it.
 ALL_TABLES = (*BRONZE, *SILVER, *DIMENSIONS, *FACTS)
 
+#: The same, with events taken whenever they arrive and facts counted anew where they fall.
+LATE_TABLES = tuple(
+    {spec.path: spec for spec in (*ALL_TABLES, LATE_EVENTS, *RECOMPUTED_FACTS)}.values()
+)
+
 
 @dataclass(frozen=True)
 class RunResult:
@@ -44,9 +50,9 @@ class RunResult:
     rewritten: tuple[str, ...] = ()
 
 
-def find_table(path: str) -> TableSpec:
+def find_table(path: str, tables: Iterable[TableSpec] = ALL_TABLES) -> TableSpec:
     wanted = path.strip("/")
-    for spec in ALL_TABLES:
+    for spec in tables:
         if spec.path == wanted:
             return spec
     raise KeyError(f"unknown table: {path}")
@@ -57,11 +63,16 @@ def run(lake: Lake, spec: TableSpec, day: dt.date) -> RunResult:
 
     The batch is computed once and written beside the table; rules, row count
     and key bounds are one aggregate over what was written. Nothing is
-    published if an Error rule fails.
+    published if an Error rule fails. What a batch consumes is noted after it is
+    published: if that comes to nothing, the next run reads it again, which an
+    upsert of the same rows does not mind.
     """
     log.info("%s: building batch of %s for %s", spec.path, day, lake.owner or "-")
     before = Observation() if spec.counts_duplicates else None
-    batch = add_metadata(spec.build(lake, day, before), day, spec.source)
+    built = spec.build(lake, day, before)
+    if not isinstance(built, Consuming):
+        built = Consuming(built, lambda: None)
+    batch = add_metadata(built.rows, day, spec.source)
 
     table = lake.table(spec.path)
     # Batches of tables stored by run date hold a single one.
@@ -71,6 +82,7 @@ def run(lake: Lake, spec: TableSpec, day: dt.date) -> RunResult:
     if measured["rows"] == 0:
         log.warning("%s: no rows, nothing loaded", spec.path)
         table.discard(staged)
+        built.note()
         return RunResult(spec.path, "empty")
 
     _store_report(lake, spec, measured, day)
@@ -92,9 +104,11 @@ def run(lake: Lake, spec: TableSpec, day: dt.date) -> RunResult:
             replace_day=day if spec.replaces_day else None,
             key_ranges=key_ranges(measured, bounds),
             keys_stay=spec.keys_stay,
+            index=KeyIndex(table, spec.keys, spec.null_safe) if spec.indexed else None,
         )
     else:
         table.replace_partitions(staged, where={"_execution_date": day.isoformat()})
+    built.note()
     duplicates = before.get["rows"] - measured["rows"] if before else None
     if duplicates:
         log.warning("%s: %d duplicates removed by %s", spec.path, duplicates, spec.keys)

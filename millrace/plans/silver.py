@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 import datetime as dt
+from dataclasses import replace
 
 from pyspark.sql import DataFrame, Observation
 from pyspark.sql import functions as F
@@ -20,8 +21,9 @@ from millrace.plans.bronze import (
     STATUSES,
 )
 from millrace.plans.lake import Lake
-from millrace.plans.spec import Refinement, TableSpec
-from millrace.sources.events import bronze_events
+from millrace.plans.spec import Consuming, Refinement, TableSpec
+from millrace.sources.consumed import SeenLog
+from millrace.sources.events import batch_folders, bronze_events, events_of_folders
 
 W = Level.WARNING
 
@@ -137,7 +139,25 @@ def _events(lake: Lake, day: dt.date, before: Observation | None) -> DataFrame:
     return SENSOR_EVENTS.apply(lines, before)
 
 
-def _spec(source, refinement, rules, partition_by=(), build=None, keys_stay=False):
+def _unseen_events(lake: Lake, day: dt.date, before: Observation | None) -> Consuming:
+    """Events of all days up to the run date whose folders no run has read yet."""
+    log = SeenLog(lake.spark, f"{lake.table(LATE_EVENTS.path).path}/_seen")
+    seen = log.read()
+    # One row for each new folder: what is read by path has to be known by path.
+    listed = batch_folders(lake.spark, lake.events_path, after=seen.up_to).collect()
+    new = [f for f in listed if f["dt"] <= day and not seen.has(f["dt"], f["_batch"])]
+    left = {f["_batch"] for f in listed if f["dt"] > day}
+    whole = max((f["_batch"] for f in listed), default=seen.up_to)
+    after = seen.after(
+        {(f["dt"], f["_batch"]) for f in new}, min(left) - 1 if left else whole
+    )
+    lines = events_of_folders(lake.spark, lake.events_path, new)
+    return Consuming(SENSOR_EVENTS.apply(lines, before), lambda: log.write(after))
+
+
+def _spec(
+    source, refinement, rules, partition_by=(), build=None, keys_stay=False, indexed=False
+):
     return TableSpec(
         f"silver/{source}",
         build or _refined(source, refinement),
@@ -145,7 +165,9 @@ def _spec(source, refinement, rules, partition_by=(), build=None, keys_stay=Fals
         keys=refinement.keys,
         partition_by=partition_by,
         keys_stay=keys_stay,
+        indexed=indexed,
         counts_duplicates=True,
+        reads=() if build else (f"bronze/{source}",),  # events are lines of the stream
     )
 
 
@@ -172,6 +194,7 @@ SILVER = (
         READING_METADATA,
         READING_METADATA_RULES,
         partition_by=("_execution_date",),
+        indexed=True,  # a reading is extracted for weeks, under every run date
     ),
     _spec(
         "mongo/equipamentos",
@@ -196,5 +219,10 @@ SILVER = (
         ),
         partition_by=("measurement_type", "_execution_date"),
         build=_events,
+        indexed=True,  # an event may be delivered again on any day
     ),
 )
+
+# Events whenever they arrive, instead of those of the run date's day alone. An
+# option: with it, run gold's RECOMPUTED_FACTS in place of FACTS.
+LATE_EVENTS = replace(SILVER[-1], build=_unseen_events)

@@ -17,9 +17,17 @@ from millrace.operators.quality import Rule
 if TYPE_CHECKING:
     from millrace.plans.lake import Lake
 
+@dataclass(frozen=True)
+class Consuming:
+    """A batch of what was not read before; ``note`` remembers that it now is."""
+
+    rows: DataFrame
+    note: Callable[[], None]
+
+
 # Builds a table's batch for a run date. The observation, if used, counts
 # rows before deduplication.
-Build = Callable[["Lake", dt.date, Observation | None], DataFrame]
+Build = Callable[["Lake", dt.date, Observation | None], DataFrame | Consuming]
 
 
 @dataclass(frozen=True)
@@ -29,7 +37,9 @@ class TableSpec:
     Without keys a load replaces the run date's partition (bronze); with keys
     it upserts. ``replaces_day`` first drops the rows of the run date (facts).
     ``keys_stay`` says that a key is only ever loaded into one partition, which
-    saves the upsert a look at the others.
+    saves the upsert a look at the others. ``indexed`` keeps an index of the keys
+    beside the table, for keys that may come again in any partition. ``reads`` names the tables the batch is
+    built from, which a run of many tables loads first.
     """
 
     path: str
@@ -40,7 +50,9 @@ class TableSpec:
     partition_by: tuple[str, ...] = ()
     replaces_day: bool = False
     keys_stay: bool = False
+    indexed: bool = False
     counts_duplicates: bool = False
+    reads: tuple[str, ...] = ()
 
     @property
     def layer(self) -> str:

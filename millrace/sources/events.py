@@ -14,6 +14,9 @@ from millrace.sources.files import matching
 # Fixed value: the topic events arrive on.
 TOPIC = "iot-sensors-raw"
 BATCH_COLUMN = "_batch"
+#: Folder beside the lines that names the folders of every complete batch.
+BATCHES = "_batches"
+BATCH_FOLDERS = "factory_id string, measurement_type string, dt date, _batch int"
 
 
 def topic_messages(
@@ -86,6 +89,45 @@ def bronze_events(
     return lines
 
 
+def batch_folders(
+    spark: SparkSession, root: str, until: dt.date | None = None, after: int = -1
+) -> DataFrame:
+    """Day and folders of the complete batches later than ``after``.
+
+    A batch is listed once all its lines are there, so a reader never takes half
+    of one.
+    """
+    path = f"{root.rstrip('/')}/{BATCHES}"
+    if not matching(spark, f"{path}/{BATCH_COLUMN}=*"):
+        return spark.createDataFrame([], BATCH_FOLDERS)
+    found = spark.read.schema(BATCH_FOLDERS).parquet(path).filter(F.col(BATCH_COLUMN) > after)
+    return found if until is None else found.filter(F.col("dt") <= F.lit(until))
+
+
+# Characters that names of partition folders hold as % and two hex digits.
+ESCAPED = "\"#%'*/:=?\\{[]^\x7f" + "".join(map(chr, range(1, 32)))
+NO_VALUE = "__HIVE_DEFAULT_PARTITION__"
+
+
+def folder_name(column: str, value: object) -> str:
+    """The name of the folder of a partition's value."""
+    text = "".join(f"%{ord(c):02X}" if c in ESCAPED else c for c in str(value))
+    return f"{column}={text or NO_VALUE}"
+
+
+def events_of_folders(
+    spark: SparkSession, root: str, folders: Iterable[tuple[str, str, dt.date, int]]
+) -> DataFrame:
+    """Bronze event lines of some batches' folders; nothing else is listed."""
+    root = root.rstrip("/")
+    columns = ("factory_id", "measurement_type", "dt", BATCH_COLUMN)
+    paths = ["/".join([root, *map(folder_name, columns, values)]) for values in folders]
+    if not paths:
+        return spark.createDataFrame([], BRONZE_EVENT)
+    lines = spark.read.schema(BRONZE_EVENT).option("basePath", root).json(paths)
+    return lines.drop(BATCH_COLUMN)
+
+
 def message_text() -> list[Column]:
     """Columns of a message with key and value decoded as UTF-8."""
     return [

@@ -10,7 +10,7 @@ from pyspark.sql.streaming import StreamingQuery
 
 from millrace.functions.contract import Contract, with_reason
 from millrace.session import session_conf
-from millrace.sources.events import BATCH_COLUMN, message_text
+from millrace.sources.events import BATCH_COLUMN, BATCHES, message_text
 from millrace.sources.plain import overwrite_partitions
 
 REASON = "_dlq_reason"
@@ -170,7 +170,10 @@ def _write_batch_lines(
 
 
 def batch_writer(root: str) -> Callable[[DataFrame, int], None]:
-    """The ``foreachBatch`` function: three outputs of one classified batch.
+    """The ``foreachBatch`` function: the outputs of one classified batch.
+
+    They are the lines of valid events, the list of the folders these are in, dead
+    letters and alerts.
 
     All outputs belong to one checkpointed batch. A failure in any of them
     fails the batch, and its replay rewrites the same folders.
@@ -188,6 +191,16 @@ def batch_writer(root: str) -> Callable[[DataFrame, int], None]:
         try:
             with session_conf(batch.sparkSession, settings):
                 _write_batch_lines(valid_lines(batch), root, EVENT_PARTITIONS, batch_id)
+                # After the lines: what is listed here is complete.
+                overwrite_partitions(
+                    batch.filter(F.col(REASON).isNull())
+                    .select(*EVENT_PARTITIONS)
+                    .distinct()
+                    .withColumn(BATCH_COLUMN, F.lit(batch_id))
+                    .coalesce(1),
+                    f"{root}/{BATCHES}",
+                    [BATCH_COLUMN],
+                )
                 _write_batch_lines(
                     dead_lines(batch), f"{root}/{DEAD_LETTER}", ("dt",), batch_id
                 )
