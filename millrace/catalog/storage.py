@@ -12,6 +12,7 @@ from millrace.operators.merge import replace_date, row_hash, upsert
 from millrace.plans.gold import hours_of
 from millrace.session import scratch_path
 from millrace.sources.documents import flatten_equipment, json_documents
+from millrace.sources.key_index import KeyIndex
 from millrace.sources.plain import (
     append_parquet,
     dry_run,
@@ -263,6 +264,18 @@ def join05(spark, d):
     return table.read()
 
 
+@query("join05_index", _UPSERT_SQL)
+def join05_index(spark, d):
+    """The upsert with an index of the keys; the target comes in two loads, by half of the orders."""
+    keys, target = ["pedido", "linha"], _target(spark, d)
+    table = SnapshotTable(spark, scratch_path(spark, "indexed-lines"))
+    index = KeyIndex(table, keys)
+    odd = F.col("pedido") % 2 == 1
+    for batch in (target.filter(odd), target.filter(~odd), _source(spark, d)):
+        table.merge(table.stage(batch, ["estado"]), keys, index=index)
+    return table.read()
+
+
 @query(
     "snk04",
     _upsert_sql(

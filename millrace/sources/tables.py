@@ -15,6 +15,7 @@ import posixpath
 import uuid
 from collections.abc import Collection, Mapping, Sequence
 from dataclasses import dataclass
+from typing import TYPE_CHECKING
 from urllib.parse import unquote
 
 from pyspark.sql import DataFrame, Row, SparkSession
@@ -24,6 +25,9 @@ from pyspark.sql import types as T
 from millrace.operators.merge import GUARD, key_match, upsert
 from millrace.sources.files import create_text, delete_tree, matching, read_text
 
+if TYPE_CHECKING:
+    from millrace.sources.key_index import KeyIndex
+
 _SNAPSHOT = "_snapshot"
 
 
@@ -70,7 +74,9 @@ def _in_partition(part: str, where: Mapping[str, object]) -> bool:
     """Whether a partition folder can hold rows with the given column values."""
     values = dict(s.split("=", 1) for s in part.split("/") if s)
     return all(
-        unquote(values[c]) == str(v) for c, v in where.items() if c in values
+        unquote(values[c]) in map(str, v if isinstance(v, (list, tuple)) else [v])
+        for c, v in where.items()
+        if c in values
     )
 
 
@@ -94,7 +100,7 @@ class SnapshotTable:
     # -- read ------------------------------------------------------------
 
     def read(self, where: Mapping[str, object] | None = None) -> DataFrame:
-        """The current table; ``where`` keeps rows with the given values.
+        """The current table; ``where`` keeps rows with the given values (or one of a list).
 
         Values of partition columns select folders before anything is listed.
         """
@@ -105,7 +111,8 @@ class SnapshotTable:
         parts = [p for p in manifest.parts if _in_partition(p, where)]
         df = self._read_parts(manifest, parts)
         for column, value in where.items():
-            df = df.filter(F.col(column) == F.lit(value))
+            several = isinstance(value, (list, tuple))
+            df = df.filter(F.col(column).isin(*value) if several else F.col(column) == F.lit(value))
         return df
 
     def _folder(self, snapshot: str, part: str) -> str:
@@ -127,6 +134,21 @@ class SnapshotTable:
         folders = [self._folder(manifest.parts[p], p) for p in sorted(parts)]
         return self._load(manifest.schema, folders, file_column)
 
+    def read_with_parts(self, manifest: Manifest, parts: Collection[str]) -> DataFrame:
+        """Rows of some partitions with the folder of each as ``_part``, as in file addresses."""
+        return self._with_part(self._read_parts(manifest, parts, "_file"))
+
+    def read_staged_with_parts(self, staged: Staged) -> DataFrame:
+        folders = [self._folder(staged.snapshot, p) for p in staged.parts]
+        return self._with_part(self._load(staged.schema, folders, "_file"))
+
+    @staticmethod
+    def _with_part(df: DataFrame) -> DataFrame:
+        if "_file" not in df.columns:  # no folders, so no files
+            return df.withColumn("_part", F.lit(""))
+        part = F.regexp_extract("_file", rf"{_SNAPSHOT}=[^/]+/(.*?)/?[^/]+$", 1)
+        return df.withColumn("_part", part).drop("_file")
+
     # -- write -----------------------------------------------------------
 
     def stage(
@@ -208,6 +230,7 @@ class SnapshotTable:
         use_row_hash: bool = False,
         key_ranges: Mapping[str, tuple] | None = None,
         keys_stay: bool = False,
+        index: "KeyIndex | None" = None,
     ) -> list[str]:
         """Upsert a staged batch; returns the partitions that were rewritten.
 
@@ -216,9 +239,14 @@ class SnapshotTable:
         are looked for in a scan of the key columns alone, narrowed by
         ``key_ranges`` (lowest and highest key of the batch). With
         ``keys_stay`` the caller states that a key never changes partition,
-        and the scan is saved.
+        and the scan is saved. An ``index`` of the keys leaves the scan only the
+        partitions that it names.
         """
         previous = self.manifest()
+        if index and previous:
+            index.cover(previous)
+        if index:
+            index.add(staged, previous.version + 1 if previous else 1)
         if previous is None:
             self.replace(staged)
             return []
@@ -235,8 +263,11 @@ class SnapshotTable:
 
         touched = set(staged.parts) & set(base)
         if previous.partition_by and set(base) - touched and not keys_stay:
+            candidates = set(base) - touched
+            if index:
+                candidates &= index.parts_of(source)
             touched |= self._matched_parts(
-                kept, set(base) - touched, source, keys, null_safe, key_ranges or {}
+                kept, candidates, source, keys, null_safe, key_ranges or {}
             )
         if not touched:
             self._publish(
@@ -270,21 +301,23 @@ class SnapshotTable:
 
         The answer has at most one row per partition folder.
         """
-        probe = self._read_parts(kept, candidates, file_column="_file")
+        if not candidates:
+            return set()
+        probe = self.read_with_parts(kept, candidates)
         for key, (low, high) in key_ranges.items():
             if low is not None and key not in null_safe:
                 probe = probe.filter(F.col(key).between(F.lit(low), F.lit(high)))
         folders = (
-            probe.select(*keys, "_file").alias("t")
+            probe.select(*keys, "_part").alias("t")
             .join(
                 source.select(*keys).alias("s"),
                 key_match("t", "s", keys, null_safe),
                 "left_semi",
             )
-            .select(F.regexp_extract("_file", rf"{_SNAPSHOT}=[^/]+/(.*)/[^/]+$", 1).alias("part"))
+            .select("_part")
             .distinct()
         )
-        return {unquote(row.part) for row in folders.collect()}
+        return {unquote(row[0]) for row in folders.collect()}
 
     @staticmethod
     def _require_same_shape(previous: Manifest, staged: Staged) -> None:
