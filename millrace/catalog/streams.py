@@ -24,6 +24,7 @@ from millrace.streaming.ingest import (
     start_ingest,
     valid_lines,
 )
+from millrace.streaming.late import DAYS, corrected_metrics, start_corrected_metrics
 from millrace.streaming.windows import start_window_metrics, window_metrics
 
 
@@ -381,14 +382,10 @@ def rmp01_sliding(spark, d):
     return _rounded(window_metrics(i.events(spark, d), slide="1 minute"))
 
 
-@query(
-    "rmp01_stream",
-    _window_sql(
-        "5 MINUTE",
-        _FIVE,
-        "WHERE inicio + INTERVAL 5 MINUTE <= (SELECT max(ts) FROM events) - INTERVAL 10 MINUTE",
-    ),
-)
+_CLOSED = "WHERE inicio + INTERVAL 5 MINUTE <= (SELECT max(ts) FROM events) - INTERVAL 10 MINUTE"
+
+
+@query("rmp01_stream", _window_sql("5 MINUTE", _FIVE, _CLOSED))
 def rmp01_stream(spark, d):
     """The same as a stream: windows the watermark has closed.
 
@@ -403,3 +400,19 @@ def rmp01_stream(spark, d):
         stream, out, f"{out}-checkpoint", available_now=True
     ).awaitTermination()
     return _rounded(spark.read.parquet(out).drop("dia"))
+
+
+@query("rmp01_late", _window_sql("5 MINUTE", _FIVE, _CLOSED))
+def rmp01_late(spark, d):
+    """Events in no order of time, some twice: closed windows and their corrections."""
+    source, out = scratch_path(spark, "shuffled"), scratch_path(spark, "corrected")
+    clean = i.events(spark, d)
+    again = clean.filter(F.col("k") % 10 == 0).withColumn("n", F.col("n") + 7)
+    arrival = F.pmod(F.xxhash64("n"), F.lit(4)).cast("int")
+    for part in range(4):
+        clean.unionByName(again).filter(arrival == part).coalesce(1).write.mode("append").parquet(source)
+    stream = spark.readStream.schema(clean.schema).option("maxFilesPerTrigger", 1).parquet(source)
+    start_corrected_metrics(
+        stream, out, f"{out}-checkpoint", periods=DAYS, available_now=True
+    ).awaitTermination()
+    return _rounded(corrected_metrics(spark, out))

@@ -22,7 +22,8 @@ def window_metrics(
     without an id cannot be told to repeat, so each of them counts. On a
     stream, a window is final once the watermark passes its end.
     """
-    events = without_repeats(events, lateness)
+    measured = ("event_id", "timestamp", "factory_id", "measurement_type", "value", "is_anomaly")
+    events = without_repeats(events.select(*measured), lateness)
     frame = F.window("timestamp", width, slide) if slide else F.window("timestamp", width)
     return (
         events.groupBy(frame.alias("w"), "factory_id", "measurement_type")
