@@ -90,7 +90,7 @@ class _State:
         """An output's rows of complete batches (those before one)."""
         last = max(self.clocks(), default=-1) if before is None else before - 1
         path, full = f"{self.root}/{name}", f"{schema}, {BATCH_COLUMN} int"
-        if not matching(self.spark, path):
+        if not matching(self.spark, f"{path}/*=*"):
             return self.spark.createDataFrame([], full)
         return self.spark.read.schema(full).parquet(path).filter(F.col(BATCH_COLUMN) <= last)
 
@@ -123,10 +123,6 @@ def corrected_writer(
         before = state.watermark(number)
         events = _new_events(state, batch, number).persist()
         try:
-            state.write(
-                events.filter("event_id IS NOT NULL").select("event_id", "timestamp", _PERIOD),
-                _IDS, number, _PERIOD,
-            )
             frame = F.window("timestamp", width, slide) if slide else F.window("timestamp", width)
             placed = events.withColumn("w", frame).withColumns(
                 {"inicio": F.col("w.start"), "fim": F.col("w.end")}
@@ -141,6 +137,9 @@ def corrected_writer(
             newest = events.agg(
                 F.unix_micros(F.max("timestamp") - F.expr(f"INTERVAL {lateness}"))
             ).first()[0]
+            # Last, as Spark drops what is cached from a folder that is written.
+            ids = events.filter("event_id IS NOT NULL").select("event_id", "timestamp", _PERIOD)
+            state.write(ids, _IDS, number, _PERIOD)
         finally:
             events.unpersist()
         after = max((t for t in (before, newest) if t is not None), default=None)
