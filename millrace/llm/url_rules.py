@@ -30,7 +30,7 @@ from pyspark.sql import functions as F
 from millrace.llm.tables import saved
 from millrace.session import scratch_path
 
-SEPARATOR = "\x01"
+SEPARATOR, ESCAPE = "\x01", "\x02"
 DEFAULT = "allow"
 RESULT = "page_id long, host string, path string, rule string, verdict string"
 
@@ -46,8 +46,12 @@ def host_and_path(url: Column) -> tuple[Column, Column]:
 
 
 def host_key(host: Column) -> Column:
-    """Labels reversed, each ended by the separator; empty for an empty host."""
-    key = F.concat(F.array_join(F.reverse(F.split(host, r"\.")), SEPARATOR), F.lit(SEPARATOR))
+    """Labels reversed, each ended by the separator; empty for an empty host.
+
+    A separator that a host itself holds is escaped, so it ends no label.
+    """
+    told = F.replace(F.replace(host, F.lit(ESCAPE), F.lit(f"{ESCAPE}b")), F.lit(SEPARATOR), F.lit(f"{ESCAPE}a"))
+    key = F.concat(F.array_join(F.reverse(F.split(told, r"\.")), SEPARATOR), F.lit(SEPARATOR))
     return F.when(host == "", F.lit("")).otherwise(key)
 
 
