@@ -20,12 +20,14 @@ from collections.abc import Iterator
 from functools import lru_cache
 
 import pyarrow as pa
+import regex
 import zstandard
-from pyspark.sql import DataFrame, Window
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-#: Rows a language's dictionary is drawn from, and characters taken of each, at most.
-SAMPLE_ROWS, SAMPLE_CHARS = 256, 1500
+#: Rows a language's dictionary is drawn from at most, and what is taken of a long text. With
+#: texts of over 1024 ASCII characters, 63 of them fill a dictionary.
+SAMPLE_ROWS, PIECES, PIECE_CHARS = 256, 4, 256
 #: Bytes of a dictionary at most, and of a chunk.
 DICTIONARY_BYTES, CHUNK_BYTES = 64 << 10, 1024
 #: Short matches tell languages apart: compression searches for three bytes or more.
@@ -41,7 +43,7 @@ SEARCH = {
 #: A text is rejected if the runner-up needs less than this share more, or so few bytes more.
 LEAST_SHARE, LEAST_BYTES = 0.005, 1
 UNKNOWN = "und"
-LETTER = re.compile(r"[^\W\d_]")
+LETTER = regex.compile(r"\p{L}")
 #: What tells languages apart: letters and the gaps between words.
 GAPS = re.compile(r"[\W\d_]+")
 
@@ -64,7 +66,7 @@ def train(
     usable = labelled.select(
         F.col(lang).cast("string").alias("lang"),
         F.xxhash64(F.col(doc_id).cast("string"), F.col(text)).alias("pick"),
-        F.substring(F.col(text), 1, SAMPLE_CHARS).alias("part"),
+        excerpt(F.col(text)).alias("part"),
     ).where(F.col("lang").isNotNull() & F.col("part").rlike(r"\p{L}"))
     order = Window.partitionBy("lang").orderBy("pick", "part")
     sample = usable.withColumn("n", F.row_number().over(order)).where(F.col("n") <= rows)
@@ -72,11 +74,32 @@ def train(
     for row in sample.select("lang", "n", "part").collect():
         parts.setdefault(row["lang"], []).append((row["n"], row["part"]))
     return {
-        name: " ".join(plain(part) for _, part in sorted(own)).encode()[:DICTIONARY_BYTES]
-        for name, own in sorted(parts.items())
+        name: filled([plain(part) for _, part in sorted(own)]) for name, own in sorted(parts.items())
     }
 
 
+def excerpt(text: Column) -> Column:
+    """Pieces spread evenly over the whole of a text, which is taken whole if it is short."""
+    spare = F.length(text) - PIECES * PIECE_CHARS
+    starts = F.transform(
+        F.sequence(F.lit(0), F.lit(PIECES - 1)),
+        lambda i: (i * (PIECE_CHARS + F.floor(spare / (PIECES - 1))) + 1).cast("int"),
+    )
+    pieces = F.transform(starts, lambda at: F.substring(text, at, F.lit(PIECE_CHARS)))
+    return F.when(spare > 0, F.array_join(pieces, " ")).otherwise(text)
+
+
+def filled(excerpts: list[str]) -> bytes:
+    """Whole excerpts, one after the other, until the next would not fit (one at least)."""
+    content = b""
+    for part in excerpts:
+        more = (b" " if content else b"") + part.encode()
+        if content and len(content) + len(more) > DICTIONARY_BYTES:
+            break
+        content += more
+    return content
+
+
 def plain(text: str) -> str:
     return GAPS.sub(" ", text.lower()).strip()
 

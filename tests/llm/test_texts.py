@@ -97,6 +97,24 @@ def test_languages_are_told(spark):
     assert sorted(r["doc_id"] for r in kept.collect()) == [0, 1, 2, 3, 4, 5, 9]
 
 
+def test_numbers_that_look_like_letters_are_none(spark):
+    models = tuple(language.train(labelled(spark)).items())
+    for text in ("²", "½", "①", "Ⅷ", "_", "٣", "12", " "):
+        assert language.judge(text, models) == (language.UNKNOWN, 0.0, True), text
+    assert language.judge("é" * 40, models)[0] in dict(models)
+
+
+def test_excerpts_are_spread_over_whole_texts(spark):
+    size = language.PIECES * language.PIECE_CHARS
+    texts = ["", "short é", "x" * size, "".join(chr(97 + n * 26 // 9000) for n in range(9000))]
+    rows = spark.createDataFrame([(n, t) for n, t in enumerate(texts)], "n int, t string")
+    *short, long = [r[0] for r in rows.orderBy("n").select(language.excerpt(F.col("t"))).collect()]
+    assert short == texts[:3]
+    assert long[0] == "a" and long[-1] == "z" and len(long) == size + language.PIECES - 1
+    assert language.filled(["a" * 40_000, "b" * 30_000, "c"]) == b"a" * 40_000
+    assert language.filled(["a", "b"]) == b"a b" and language.filled([]) == b""
+
+
 def test_a_text_between_languages_is_rejected(spark):
     models = language.train(labelled(spark))
     assert language.judge("q", tuple(models.items()))[2]
@@ -304,6 +322,7 @@ URLS = [
     None, "", "nourl", "http://", "http://NET/x", "https://sub.a.example.net/en/?q", "http://example.net/en/a#b",
     "http://notexample.net/en/", "http://net", "ftp://b.c/xy", "http://b.c/y", "http://q.r?x", "http://a.q.r", "http://xq.r/",
     "http://EXAMPLE.net/en/://y", "http://example.net.", "http://é.net/", "http://z/", "http:///net/",
+    "http://net\x01x/", "http://x\x01net/", "http://a.q\x01.r/", "http://q.r\x02/", "http://\x02a.q.r/", "http://q\x02a.r/",
 ] + ["http://hot.example.net/en/"] * 200 + [f"http://hot.example.net/p{n}" for n in range(200)]
 
 
