@@ -29,6 +29,7 @@ from millrace.session import scratch_path
 from millrace.sources.documents import flatten_equipment
 from millrace.sources.plain import overwrite_partitions
 from millrace.sources.relational import FrameRelations
+from millrace.streaming.alerts import Limits, alert_history, start_range_alerts
 from millrace.streaming.ingest import batch_writer, classify
 
 RUN = run_date("2024-01-15")
@@ -82,6 +83,65 @@ def rmp04(spark, d):
     return spark.read.parquet(path).select("event_id", "value", "_execution_date")
 
 
+def _alerts_of_stream(spark, d, limits, batches: int = 2) -> DataFrame:
+    """Every event in one of two batches, a part of the first again in the second.
+
+    ``limits`` gives those of a batch by its number.
+    """
+    path = scratch_path(spark, "range-alerts")
+    source, asked = f"{path}-events", []
+    events = i.events(spark, d).select(*reports.ALERT_COLUMNS, "n")
+    for part in range(batches):
+        again = F.col("n") % (5 * batches) == 0 if part else F.lit(False)
+        late = events.filter((F.col("n") % batches == part) | again)
+        late.drop("n").coalesce(1).write.mode("append").parquet(source)
+
+    def next_limits() -> Limits:
+        asked.append(len(asked))
+        return limits(asked[-1])
+
+    schema = events.drop("n").schema
+    stream = spark.readStream.schema(schema).option("maxFilesPerTrigger", 1).parquet(source)
+    start_range_alerts(stream, path, f"{path}-checkpoint", next_limits, available_now=True).awaitTermination()
+    return alert_history(spark, path).withColumn("timestamp", i.ntz("timestamp"))
+
+
+_STREAM_COLUMNS = (*reports.ALERT_COLUMNS, "limite_min", "limite_max")
+
+
+@query("rmp02_stream", _SENSOR_ALERTS)
+def rmp02_stream(spark, d):
+    """The sensor alerts of a stream."""
+    documents = flatten_equipment(i.documents(spark, d))
+    found = _alerts_of_stream(spark, d, lambda _: Limits(documents, i.types(spark)))
+    return found.filter("regra = 'sensor'").select(*_STREAM_COLUMNS)
+
+
+@query("rmp03_stream", _TYPE_ALERTS)
+def rmp03_stream(spark, d):
+    """The type alerts of a stream."""
+    found = _alerts_of_stream(spark, d, lambda _: Limits(types=i.types(spark)))
+    return found.select(*_STREAM_COLUMNS)
+
+
+@query(
+    "rmp04_stream",
+    f"""SELECT event_id, limite_max FROM ({_TYPE_ALERTS}) WHERE cast(event_id AS bigint) % 2 = 0
+        UNION ALL SELECT event_id, faixa_normal_max - 10 FROM ({i.SQL_EVENTS}) e
+        JOIN ({i.SQL_TYPES}) t ON e.measurement_type = t.nome
+        WHERE (n % 2 = 1 OR n % 10 = 0 AND value BETWEEN faixa_normal_min AND faixa_normal_max)
+            AND value NOT BETWEEN faixa_normal_min AND faixa_normal_max - 10""",
+)
+def rmp04_stream(spark, d):
+    """Limits that are lowered between two batches: stored alerts stay, later events meet the new ones."""
+
+    def limits(batch: int) -> Limits:
+        lowered = F.col("faixa_normal_max") - 10 * batch
+        return Limits(types=i.types(spark).withColumn("faixa_normal_max", lowered))
+
+    return _alerts_of_stream(spark, d, limits).select("event_id", "limite_max")
+
+
 @query(
     "rmp05",
     """SELECT 'SENS-' || cast(l_partkey AS varchar) AS sensor_id, count(*) AS leituras

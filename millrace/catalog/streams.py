@@ -9,10 +9,12 @@ from pyspark.sql import functions as F
 
 from millrace.catalog import inputs as i
 from millrace.catalog.registry import query
+from millrace.functions.calendar import run_date
 from millrace.functions.contract import MALFORMED, MEASUREMENT_TYPES, REQUIRED_FIELDS, Contract
 from millrace.schemas import MESSAGE
 from millrace.session import scratch_path
 from millrace.sources.events import bronze_events, file_messages
+from millrace.streaming.compaction import compact_day, crowded_days
 from millrace.streaming.ingest import (
     ALERTS,
     anomaly_alerts,
@@ -285,6 +287,15 @@ def brz10(spark, d):
     return _shown(bronze_events(spark, _ingested(spark, d)))
 
 
+@query("brz10_packed", _BRONZE)
+def brz10_packed(spark, d):
+    """Several micro-batches, whose days are packed into large files before bronze is read."""
+    root = _ingested(spark, d, per_batch=3)
+    for day in crowded_days(spark, root, run_date("2024-01-20"), least_batches=1):
+        compact_day(spark, root, day)
+    return _shown(bronze_events(spark, root))
+
+
 @query("str05", _BRONZE)
 def str05(spark, d):
     """The same in several micro-batches."""

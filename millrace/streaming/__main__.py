@@ -6,6 +6,7 @@ import argparse
 import logging
 import signal
 
+from pyspark.sql import SparkSession
 from pyspark.sql.streaming import StreamingQuery, StreamingQueryListener
 
 from millrace.functions.contract import Contract
@@ -13,7 +14,8 @@ from millrace.plans.lake import Lake
 from millrace.session import build_session
 from millrace.sources.events import TOPIC, topic_messages
 from millrace.sources.files import read_text
-from millrace.streaming.ingest import OBSERVED, start_ingest
+from millrace.streaming.alerts import lake_limits, start_range_alerts, typed_events
+from millrace.streaming.ingest import OBSERVED, classify, start_ingest
 
 log = logging.getLogger(__name__)
 
@@ -55,6 +57,9 @@ def parse(argv: list[str] | None = None) -> argparse.Namespace:
     parser.add_argument(
         "--bool-is-number", action="store_true", help="accept true and false as value"
     )
+    parser.add_argument(
+        "--range-alerts", help="folder of the alerts on the ranges of sensors and types; none if left out"
+    )
     parser.add_argument("--available-now", action="store_true")
     parser.add_argument("--dry-run", action="store_true")
     return parser.parse_args(argv)
@@ -66,30 +71,60 @@ def main(argv: list[str] | None = None) -> None:
     spark = build_session("millrace-ingest")
     spark.streams.addListener(CounterLog())
     schema = read_text(spark, args.schema_file) if args.schema_file else None
-    query = start_ingest(
-        topic_messages(
-            spark,
-            args.bootstrap_servers,
-            args.topic,
-            most=args.max_offsets,
-            least=args.min_offsets,
-            longest_wait=args.max_delay,
-            options=dict(option.split("=", 1) for option in args.option),
-        ),
-        Lake(spark, args.root, args.environment).events_path,
-        args.checkpoint,
-        contract=Contract.from_json_schema(schema, bool_is_number=args.bool_is_number),
-        interval=args.flush_interval,
-        available_now=args.available_now,
-        dry_run=args.dry_run,
+    contract = Contract.from_json_schema(schema, bool_is_number=args.bool_is_number)
+    messages = topic_messages(
+        spark,
+        args.bootstrap_servers,
+        args.topic,
+        most=args.max_offsets,
+        least=args.min_offsets,
+        longest_wait=args.max_delay,
+        options=dict(option.split("=", 1) for option in args.option),
     )
-    stop_on_signal(query)
-    query.awaitTermination()
-
-
-def stop_on_signal(query: StreamingQuery) -> None:
-    """On SIGTERM, end the query; an unfinished batch is done again at the next start."""
-    signal.signal(signal.SIGTERM, lambda *_: query.stop())
+    lake = Lake(spark, args.root, args.environment)
+    started = [
+        start_ingest(
+            messages,
+            lake.events_path,
+            args.checkpoint,
+            contract=contract,
+            interval=args.flush_interval,
+            available_now=args.available_now,
+            dry_run=args.dry_run,
+        )
+    ]
+    if args.range_alerts and not args.dry_run:
+        # A query of its own: alerts do not hold up the lines, nor fail with them.
+        started.append(
+            start_range_alerts(
+                typed_events(classify(messages, contract)),
+                args.range_alerts,
+                f"{args.checkpoint.rstrip('/')}-range-alerts",
+                lake_limits(lake),
+                interval=args.flush_interval,
+                available_now=args.available_now,
+            )
+        )
+    stop_on_signal(*started)
+    await_all(spark, started)
+
+
+def await_all(spark: SparkSession, started: list[StreamingQuery]) -> None:
+    """Wait for all queries; if one fails, the others end too."""
+    try:
+        while any(query.isActive for query in started):
+            spark.streams.awaitAnyTermination()
+            spark.streams.resetTerminated()
+    finally:
+        for query in started:
+            query.stop()
+    for query in started:
+        query.awaitTermination()
+
+
+def stop_on_signal(*started: StreamingQuery) -> None:
+    """On SIGTERM, end the queries; an unfinished batch is done again at the next start."""
+    signal.signal(signal.SIGTERM, lambda *_: [query.stop() for query in started])
 
 
 if __name__ == "__main__":
