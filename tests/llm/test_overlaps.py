@@ -307,3 +307,23 @@ def test_pipeline_of_an_empty_table(spark, tmp_path):
     spark.createDataFrame([], DOCS).write.parquet(str(tmp_path / "documents.parquet"))
     spark.createDataFrame([], "item_id long, text string").write.parquet(str(tmp_path / "benchmark.parquet"))
     assert corpus_pipeline.run(spark, str(tmp_path)).count() == 0
+
+
+# --- links of blocks
+
+
+@settings(max_examples=100, deadline=None)
+@given(st.lists(st.tuples(st.integers(-5, 5), st.integers(-5, 5)), max_size=60))
+def test_spanning_edges_join_what_all_edges_join(edges):
+    def parts(chosen):
+        label = {n: n for e in edges for n in e}
+        for _ in label:
+            for x, y in chosen:
+                label[x] = label[y] = min(label[x], label[y])
+        return label
+
+    one, other = (np.array([e[n] for e in edges], np.int64) for n in (0, 1))
+    kept = jaccard_join.spanning(one, other)
+    assert parts([edges[n] for n in kept]) == parts(edges)
+    nodes = {n for e in edges for n in e}
+    assert len(kept) == len(nodes) - len(set(parts(edges).values()))
