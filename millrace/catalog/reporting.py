@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import datetime as dt
 from functools import reduce
 
 from pyspark.sql import DataFrame
@@ -422,6 +423,44 @@ def job07(spark, d):
     return _day_run(spark, d, 2)
 
 
+# -- extracts that bring the same again -------------------------------------
+
+CORRECTED = "l_linenumber = 1 AND l_orderkey % 50 = 0"
+
+
+@query(
+    "slv07_reload",
+    f"""SELECT cast(l_orderkey AS varchar) || '-' || cast(l_linenumber AS varchar) AS id,
+        l_extendedprice + CASE WHEN {CORRECTED} THEN 1 ELSE 0 END AS valor,
+        DATE '{RUN}' - cast(l_linenumber AS integer) AS _dia_leitura,
+        CASE WHEN {CORRECTED} THEN DATE '{RUN}' + 1 ELSE DATE '{RUN}' END AS _execution_date
+        FROM (SELECT l_orderkey, l_linenumber, max(l_extendedprice) AS l_extendedprice
+              FROM lineitem GROUP BY ALL)""",
+)
+def slv07_reload(spark, d):
+    """A window extracted on two days, with corrections on the second: all else stays as first loaded."""
+    lines = i.table(spark, d, "lineitem")
+    taken = F.date_add(F.lit(RUN), -F.col("l_linenumber").cast("int")).cast("timestamp")
+    first = lines.groupBy("l_orderkey", "l_linenumber").agg(F.max("l_extendedprice").alias("price")).select(
+        F.concat_ws("-", F.col("l_orderkey").cast("string"), F.col("l_linenumber").cast("string")).alias("id"),
+        F.lit("SENS-1").alias("sensor_id"),
+        F.col("price").alias("valor"),
+        F.lit(1).alias("status_qualidade_id"),
+        F.lit(False).alias("is_anomalia"),
+        taken.alias("timestamp_leitura"),
+        F.expr(CORRECTED).alias("corrected"),
+    )
+    second = first.withColumn("valor", F.col("valor") + F.col("corrected").cast("int"))
+    root = scratch_path(spark, "reloaded")
+    for days, extract in enumerate([first, second]):
+        relations = FrameRelations(lambda _, extract=extract: extract.drop("corrected"))
+        lake = Lake(spark, root, "hmg", relations)
+        for layer in ("bronze", "silver"):
+            run(lake, find_table(f"{layer}/postgres/leituras"), RUN + dt.timedelta(days))
+    found = lake.read("silver/postgres/leituras")
+    return found.select("id", "valor", "_dia_leitura", "_execution_date")
+
+
 # -- events that arrive after their day was loaded --------------------------
 
 LAST = run_date("2024-01-31")

@@ -8,6 +8,9 @@ from collections.abc import Iterable, Mapping
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+#: What a load adds to every row, which says nothing about its content.
+STAMPS = ("_execution_date", "_processed_at", "_data_source")
+
 
 def cast_columns(
     df: DataFrame, types: Mapping[str, str], drop: Iterable[str] = ()

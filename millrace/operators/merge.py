@@ -61,12 +61,13 @@ def upsert(
     *,
     null_safe: Sequence[str] = (),
     use_row_hash: bool = False,
+    content: Sequence[str] = (),
 ) -> DataFrame:
     """Target after the source has been merged into it.
 
     A source row replaces its match unless it is older (``_execution_date``)
     or the guard is NULL; with ``use_row_hash`` it must also differ in
-    ``_row_hash``. Rows without a match are kept from either side. Keys
+    ``_row_hash``, with ``content`` in one of these columns. Rows without a match are kept from either side. Keys
     compare as in SQL, so a NULL key matches nothing unless ``null_safe``.
     Repeated source keys fail the job.
     """
@@ -82,6 +83,9 @@ def upsert(
     newer = F.col(f"s.{GUARD}") >= F.col(f"t.{GUARD}")
     if use_row_hash:
         newer = newer & ~F.col(f"s.{ROW_HASH}").eqNullSafe(F.col(f"t.{ROW_HASH}"))
+    if content:
+        same = [F.col(f"s.{c}").eqNullSafe(F.col(f"t.{c}")) for c in content]
+        newer = newer & ~reduce(lambda a, b: a & b, same)
     take_source = F.col("t._in_target").isNull() | (
         F.col("s._in_source").isNotNull() & F.coalesce(newer, F.lit(False))
     )

@@ -10,7 +10,7 @@ from dataclasses import dataclass
 from pyspark.sql import Observation, Row
 from pyspark.sql import functions as F
 
-from millrace.operators.columns import add_metadata
+from millrace.operators.columns import STAMPS, add_metadata
 from millrace.operators.merge import GUARD
 from millrace.operators.quality import (
     Level,
@@ -105,6 +105,7 @@ def run(lake: Lake, spec: TableSpec, day: dt.date) -> RunResult:
             key_ranges=key_ranges(measured, bounds),
             keys_stay=spec.keys_stay,
             index=KeyIndex(table, spec.keys, spec.null_safe) if spec.indexed else None,
+            content=[c for c in batch.columns if c not in STAMPS] if spec.skips_unchanged else (),
         )
     else:
         table.replace_partitions(staged, where={"_execution_date": day.isoformat()})

@@ -156,8 +156,9 @@ def _unseen_events(lake: Lake, day: dt.date, before: Observation | None) -> Cons
 
 
 def _spec(
-    source, refinement, rules, partition_by=(), build=None, keys_stay=False, indexed=False
-):
+    source, refinement, rules, partition_by=(), build=None,
+    keys_stay=False, indexed=False, skips_unchanged=False,
+):
     return TableSpec(
         f"silver/{source}",
         build or _refined(source, refinement),
@@ -166,6 +167,7 @@ def _spec(
         partition_by=partition_by,
         keys_stay=keys_stay,
         indexed=indexed,
+        skips_unchanged=skips_unchanged,
         counts_duplicates=True,
         reads=() if build else (f"bronze/{source}",),  # events are lines of the stream
     )
@@ -188,6 +190,7 @@ SILVER = (
         READING_RULES,
         partition_by=("_dia_leitura",),
         keys_stay=True,  # a reading keeps the time it was taken
+        skips_unchanged=True,  # and comes again with every extract of two months
     ),
     _spec(
         "postgres/metadados_leitura",

@@ -38,7 +38,9 @@ class TableSpec:
     it upserts. ``replaces_day`` first drops the rows of the run date (facts).
     ``keys_stay`` says that a key is only ever loaded into one partition, which
     saves the upsert a look at the others. ``indexed`` keeps an index of the keys
-    beside the table, for keys that may come again in any partition. ``reads`` names the tables the batch is
+    beside the table, for keys that may come again in any partition.
+    ``skips_unchanged`` leaves rows, and whole partitions, that a new extract does not
+    change as they are, with the stamps of the load that brought them. ``reads`` names the tables the batch is
     built from, which a run of many tables loads first.
     """
 
@@ -51,6 +53,7 @@ class TableSpec:
     replaces_day: bool = False
     keys_stay: bool = False
     indexed: bool = False
+    skips_unchanged: bool = False
     counts_duplicates: bool = False
     reads: tuple[str, ...] = ()
 

@@ -14,7 +14,7 @@ import json
 import posixpath
 import uuid
 from collections.abc import Collection, Mapping, Sequence
-from dataclasses import dataclass
+from dataclasses import dataclass, replace
 from typing import TYPE_CHECKING
 from urllib.parse import unquote
 
@@ -23,6 +23,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from millrace.operators.merge import GUARD, key_match, upsert
+from millrace.sources.checksums import equal_parts
 from millrace.sources.files import create_text, delete_tree, matching, read_text
 
 if TYPE_CHECKING:
@@ -231,6 +232,7 @@ class SnapshotTable:
         key_ranges: Mapping[str, tuple] | None = None,
         keys_stay: bool = False,
         index: "KeyIndex | None" = None,
+        content: Sequence[str] = (),
     ) -> list[str]:
         """Upsert a staged batch; returns the partitions that were rewritten.
 
@@ -241,8 +243,24 @@ class SnapshotTable:
         ``keys_stay`` the caller states that a key never changes partition,
         and the scan is saved. An ``index`` of the keys leaves the scan only the
         partitions that it names.
+
+        With ``content`` a row replaces its match only if it differs in these columns, and
+        a partition of the batch that holds the very rows of the table's is not
+        merged at all: keys are unique, so its keys are nowhere else.
         """
         previous = self.manifest()
+        if previous and content:
+            self._require_same_shape(previous, staged)
+            both = set(staged.parts) & set(previous.parts)
+            same = equal_parts(
+                self.read_staged_with_parts(replace(staged, parts=tuple(sorted(both)))),
+                self.read_with_parts(previous, both),
+                content,
+            )
+            staged = replace(staged, parts=tuple(p for p in staged.parts if p not in same))
+            if not staged.parts:
+                self.discard(staged)
+                return []
         if index and previous:
             index.cover(previous)
         if index:
@@ -281,6 +299,7 @@ class SnapshotTable:
             keys,
             null_safe=null_safe,
             use_row_hash=use_row_hash,
+            content=content,
         )
         result = self.stage(merged, previous.partition_by)
         parts = {p: s for p, s in base.items() if p not in touched}
