@@ -19,7 +19,7 @@ from millrace.catalog.streams import _VALID
 from millrace.functions.calendar import run_date
 from millrace.operators.aggregates import daily_anomalies
 from millrace.operators.columns import pick
-from millrace.operators.quality import QualityError, complete, evaluate, non_negative
+from millrace.operators.quality import QualityError, complete, evaluate, non_negative, unique
 from millrace.plans import reports, silver
 from millrace.plans.gold import FACTORY_COLUMNS
 from millrace.plans.graph import run_graph
@@ -27,9 +27,11 @@ from millrace.plans.lake import Lake
 from millrace.plans.runner import ALL_TABLES, LATE_TABLES, find_table, run
 from millrace.plans.spec import TableSpec
 from millrace.session import scratch_path
+from millrace.sources.check_state import CheckState
 from millrace.sources.documents import flatten_equipment
 from millrace.sources.plain import overwrite_partitions
 from millrace.sources.relational import FrameRelations
+from millrace.sources.tables import SnapshotTable
 from millrace.streaming.alerts import Limits, alert_history, start_range_alerts
 from millrace.streaming.ingest import batch_writer, classify
 
@@ -423,6 +425,31 @@ def job07(spark, d):
     return _day_run(spark, d, 2)
 
 
+# -- checks of whole tables -------------------------------------------------
+
+
+@query(
+    "dq06_state",
+    """SELECT 'isComplete(id)' AS "constraint", 0::bigint AS violations, count(*) AS "rows" FROM lineitem
+       UNION ALL SELECT 'isNonNegative(valor)', count(*) FILTER (l_quantity < 5), count(*) FROM lineitem
+       UNION ALL SELECT 'isUnique(id)', count(*) - count(DISTINCT (l_orderkey, l_linenumber)), count(*) FROM lineitem""",
+)
+def dq06_state(spark, d):
+    """A report on all partitions from states; the second load's are the only ones read then."""
+    lines = i.table(spark, d, "lineitem")
+    rows = lines.select(
+        F.concat_ws("-", F.col("l_orderkey").cast("string"), F.col("l_linenumber").cast("string")).alias("id"),
+        (F.col("l_quantity") - 5).alias("valor"),
+        (F.col("l_partkey") % 8).alias("parte"),
+    )
+    table = SnapshotTable(spark, scratch_path(spark, "checked"))
+    state = CheckState(table, (*complete("id"), non_negative("valor"), unique("id")))
+    for half in (0, 1):
+        table.replace_partitions(table.stage(rows.filter(F.col("parte") % 2 == half), ["parte"]))
+        found = state.report(RUN)
+    return found.select("constraint", "violations", "rows")
+
+
 # -- extracts that bring the same again -------------------------------------
 
 CORRECTED = "l_linenumber = 1 AND l_orderkey % 50 = 0"
