@@ -18,6 +18,15 @@ SETTINGS = {
     "spark.sql.adaptive.coalescePartitions.enabled": "true",
     "spark.sql.adaptive.skewJoin.enabled": "true",
     "spark.sql.adaptive.optimizeSkewsInRebalancePartitions.enabled": "true",
+    # What a Python worker holds of its input at once, whatever the length of rows.
+    "spark.sql.execution.arrow.maxBytesPerBatch": "4m",
+}
+# Python workers give freed arrays back at once instead of keeping them for later tasks.
+WORKER_ENVIRONMENT = {
+    "ARROW_DEFAULT_MEMORY_POOL": "system",
+    "MALLOC_ARENA_MAX": "2",
+    "MALLOC_MMAP_THRESHOLD_": str(1 << 20),
+    "MALLOC_TRIM_THRESHOLD_": str(1 << 20),
 }
 
 
@@ -32,6 +41,8 @@ def apply_settings(spark: SparkSession) -> SparkSession:
     """Pin the settings on a session somebody else built."""
     for key, value in SETTINGS.items():
         spark.conf.set(key, value)
+    for key, value in WORKER_ENVIRONMENT.items():
+        spark.sparkContext.environment.setdefault(key, value)
     return spark
 
 
