@@ -10,7 +10,9 @@ Defined results: a null text, or one without a letter, is ``und`` with score 0
 and rejected; equal sizes go to the language that sorts first; very long texts
 are compressed chunk by chunk; repeated rows and null ids are classified like
 others; an empty table gives no rows; without training rows all is ``und``.
-Columns of the input other than those named are kept out of the result.
+Columns of the input other than those named are kept out of the result of
+``identify``; ``keep_identified`` keeps them all. It also keeps rejected texts
+with fewer than ``SHORT_BYTES`` bytes of letters: they are too short to tell.
 """
 
 from __future__ import annotations
@@ -25,6 +27,8 @@ import zstandard
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
+from millrace.llm.tables import slices
+
 #: Rows a language's dictionary is drawn from at most, and what is taken of a long text. With
 #: texts of over 1024 ASCII characters, 63 of them fill a dictionary.
 SAMPLE_ROWS, PIECES, PIECE_CHARS = 256, 4, 256
@@ -40,6 +44,8 @@ SEARCH = {
     "target_length": 16,
     "strategy": zstandard.STRATEGY_GREEDY,
 }
+#: Bytes of letters and gaps below which no margin can be expected of a text.
+SHORT_BYTES = 32
 #: A text is rejected if the runner-up needs less than this share more, or so few bytes more.
 LEAST_SHARE, LEAST_BYTES = 0.005, 1
 UNKNOWN = "und"
@@ -139,6 +145,11 @@ def judge(text: str | None, models: tuple[tuple[str, bytes], ...]) -> tuple[str,
     return name, 1.0 - 0.5 ** (1 + margin * 50.0 / max(best, 50)), rejected
 
 
+def too_short(text: str | None) -> bool:
+    """Whether a text has letters, but not enough to tell a language by."""
+    return bool(text) and bool(LETTER.search(text)) and len(encodable(text)) < SHORT_BYTES
+
+
 def identify(
     docs: DataFrame, models: Models, doc_id: str = "doc_id", text: str = "text"
 ) -> DataFrame:
@@ -146,7 +157,7 @@ def identify(
     fixed = tuple(sorted(models.items()))
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
+        for batch in slices(batches, "text"):
             found = [judge(content.as_py(), fixed) for content in batch.column(1)]
             names, scores, rejected = list(zip(*found)) or ((), (), ())
             yield pa.RecordBatch.from_arrays(
@@ -168,13 +179,15 @@ def identify(
 
 
 def keep_identified(docs: DataFrame, models: Models, text: str = "text") -> DataFrame:
-    """The rows whose language is told clearly, with all their columns."""
+    """The rows whose language is told clearly or that are too short to tell, with all columns."""
     fixed = tuple(sorted(models.items()))
-    place = docs.columns.index(text)
+
+    def stays(content: str | None) -> bool:
+        return not judge(content, fixed)[2] or bool(fixed) and too_short(content)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
-            kept = [not judge(content.as_py(), fixed)[2] for content in batch.column(place)]
+        for batch in slices(batches, text):
+            kept = [stays(content.as_py()) for content in batch.column(text)]
             yield batch.filter(pa.array(kept, pa.bool_()))
 
     return docs.mapInArrow(run, docs.schema)

@@ -1,12 +1,21 @@
 """Harmonic packing of tokenized documents into fixed-length sequences.
 
-Lengths are partitioned into classes by the reciprocals of powers of two:
-class k holds pieces of exactly ``capacity / k`` tokens, and each of its bins
-takes k pieces. A document is cut so that all of its pieces fit a class
-exactly: full sequences first, then what remains, largest class first. Bins
-are filled as the pieces come, by each task on its own, so there is no
-shuffle and no padding inside a bin. What a task has left of a class at its
-end becomes sequences whose lengths are powers of two, which need no padding.
+Lengths are partitioned into classes by reciprocals of the capacity: class k
+holds lengths over ``capacity / (k + 1)``, up to ``capacity / k``, and each of
+its bins takes k documents, which always fit. Of a document longer than a
+sequence, full sequences are cut off first; what remains goes to its class.
+
+A bin that has its k documents has a gap left, and the next document of the
+task begins there: it is cut only where the gap ends. Gaps of fewer than
+``LEAST_PIECE`` tokens stay as padding, and of fewer than twice as many if
+the next document would be cut into smaller pieces. Smaller pieces come only
+from what full sequences leave, and from the end of a task. Bins are filled
+by each task on its own, so there is no shuffle. What open bins hold at the
+end of a task is joined, longest first, and cut into full sequences; the last
+of it into sequences whose lengths are powers of two, which need no padding.
+
+Ties: documents of one class go to its bins in the order in which they are
+read, so where a document is packed depends on how the input is divided.
 
 Defined results: a null or empty text is the end id alone; a very long text is
 encoded whole and cut like others; repeated rows are packed once each; rows
@@ -26,12 +35,16 @@ from pyspark import TaskContext
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from millrace.llm.tables import slices
+
 PIECES = (
     "doc_id long, start long, length long, ids binary, doc_tokens long, "
     "sequence_id long, offset long, sequence_length long"
 )
 #: Pieces a task hands on at once, in bytes of token ids.
 BATCH_BYTES = 4 << 20
+#: Tokens of a piece at least, where a document is cut to fill a gap.
+LEAST_PIECE = 16
 #: Sequences of one task are numbered from its partition's number shifted by this.
 TASK_BITS = 36
 # The pattern of this byte-level vocabulary.
@@ -78,47 +91,88 @@ def encode(text: str, path: str) -> list[int]:
 
 
 class Bins:
-    """The open bin of each class of one task."""
+    """The open bins of one task: one of each class, and one whose gap is being filled."""
 
     def __init__(self, capacity: int, first_sequence: int):
         self.capacity, self.next = capacity, first_sequence
+        self.least = min(LEAST_PIECE, capacity)
         self.open: dict[int, list[tuple]] = {}
+        self.gap: list[tuple] = []
+
+    def add(self, doc: int | None, ids: np.ndarray) -> list[tuple]:
+        """Put a document in bins; the rows of those that are full now."""
+        rows, start, total = [], 0, len(ids)
+
+        def cut(length: int) -> tuple:
+            nonlocal start
+            piece = (doc, start, length, ids[start : start + length].tobytes(), total)
+            start += length
+            return piece
+
+        if self.gap:
+            if part := self.fill(total):
+                self.gap.append(cut(part))
+            rows += self.full_gap(giving_up=not part)
+        while total - start >= self.capacity:
+            rows += self.closed([cut(self.capacity)])
+        if total > start:
+            kind = self.capacity // (total - start)
+            held = self.open.setdefault(kind, [])
+            held.append(cut(total - start))
+            if len(held) == kind:
+                self.gap = self.open.pop(kind)  # the one before is full: the document is not used up
+                rows += self.full_gap()
+        return rows
 
-    def add(self, piece: tuple, length: int) -> list[tuple]:
-        """Put a piece in the bin of its class; the bin's rows, if it is full now."""
-        held = self.open.setdefault(length, [])
-        held.append(piece)
-        if len(held) * length < self.capacity:
+    def fill(self, total: int) -> int:
+        """How much of a document of so many tokens goes into the gap; 0 if that would shred it."""
+        room = self.capacity - held_in(self.gap)
+        if total <= room:
+            return total
+        part = min(room, total - self.least)
+        return part if part >= self.least else 0
+
+    def full_gap(self, giving_up: bool = False) -> list[tuple]:
+        """The rows of the bin with the gap, if too little is left of it."""
+        if self.capacity - held_in(self.gap) >= self.least and not giving_up:
             return []
-        del self.open[length]
-        return self.closed(held, length)
+        held, self.gap = self.gap, []
+        return self.closed(held)
 
-    def closed(self, held: list[tuple], length: int) -> list[tuple]:
+    def closed(self, held: list[tuple]) -> list[tuple]:
         number, self.next = self.next, self.next + 1
-        size = len(held) * length
-        return [(*piece, number, n * length, size) for n, piece in enumerate(held)]
+        size, rows, offset = held_in(held), [], 0
+        for piece in held:
+            rows.append((*piece, number, offset, size))
+            offset += piece[2]
+        return rows
 
     def rest(self) -> list[tuple]:
-        """Unfilled bins, as sequences whose lengths are powers of two."""
-        rows = []
-        for length, held in sorted(self.open.items()):
-            while held:
-                count = 1 << (len(held).bit_length() - 1)
-                rows += self.closed(held[:count], length)
-                held = held[count:]
-        self.open = {}
+        """What open bins hold, in full sequences and a few whose lengths are powers of two."""
+        left = [*self.gap, *(piece for held in self.open.values() for piece in held)]
+        left.sort(key=lambda piece: -piece[2])
+        self.gap, self.open = [], {}
+        rows, held, remaining = [], [], held_in(left)
+        room = power_within(remaining, self.capacity)
+        for doc, start, length, ids, total in left:
+            while length:
+                part = min(length, room)
+                held.append((doc, start, part, ids[: 4 * part], total))
+                start, length, ids = start + part, length - part, ids[4 * part :]
+                room, remaining = room - part, remaining - part
+                if not room:
+                    rows += self.closed(held)
+                    held, room = [], power_within(remaining, self.capacity)
         return rows
 
 
-def piece_lengths(total: int, capacity: int) -> Iterator[int]:
-    """Full sequences, then the binary digits of what remains, largest first."""
-    for _ in range(total // capacity):
-        yield capacity
-    rest = total % capacity
-    while rest:
-        length = 1 << (rest.bit_length() - 1)
-        yield length
-        rest -= length
+def held_in(pieces: list[tuple]) -> int:
+    return sum(piece[2] for piece in pieces)
+
+
+def power_within(tokens: int, capacity: int) -> int:
+    """The largest power of two that is neither over ``tokens`` nor over ``capacity``."""
+    return min(capacity, 1 << (tokens.bit_length() - 1)) if tokens else 0
 
 
 def pack(
@@ -132,8 +186,8 @@ def pack(
     """Pieces of documents with their place in sequences of ``capacity`` tokens.
 
     ``ids`` holds a piece's token ids as little-endian unsigned 32-bit numbers,
-    ``sequence_length`` the tokens of its sequence: ``capacity``, or a smaller
-    power of two. ``tokenizer`` is the path of a byte-level vocabulary file
+    ``sequence_length`` the tokens of its sequence: a power of two, or fewer
+    than twice ``LEAST_PIECE`` below ``capacity``, which is the padding it needs. ``tokenizer`` is the path of a byte-level vocabulary file
     that is there on every worker; ``capacity`` must be a power of two.
     """
     if capacity < 1 or capacity & (capacity - 1):
@@ -142,15 +196,13 @@ def pack(
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         bins = Bins(capacity, TaskContext.get().partitionId() << TASK_BITS)
         rows, held = [], 0
-        for batch in batches:
+        for batch in slices(batches, "text", 1 << 22):
             for doc, content in zip(batch.column(0).to_pylist(), batch.column(1)):
                 tokens = encode(content.as_py() or "", tokenizer)
                 ids = np.array([*tokens, end_id], dtype="<u4")
-                start = 0
-                for length in piece_lengths(len(ids), capacity):
-                    part = ids[start : start + length].tobytes()
-                    rows += bins.add((doc, start, length, part, len(ids)), length)
-                    start, held = start + length, held + len(part)
+                full = bins.add(doc, ids)
+                rows += full
+                held += 4 * held_in(full)
                 if held > BATCH_BYTES:
                     yield as_batch(rows)
                     rows, held = [], 0
