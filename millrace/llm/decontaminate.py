@@ -12,13 +12,18 @@ A document is contaminated by an item if, on some alignment, a window of
 ``AGREEMENT`` of its words. The masks of ``FAMILIES`` hit every pattern of
 substitutions that this allows, so that nothing it calls contaminated is missed.
 
-The benchmark is broadcast in blocks whose number of seeds is bounded by
-``BLOCK_SEEDS``; the documents are read once for each block and never shuffled.
+Seeds are small rows of fixed size, without words, and are broadcast in blocks
+of at most about ``BLOCK_SEEDS``; the documents are read once for each block
+and never shuffled. The words of an item join its hits afterwards, from a
+written table that Spark broadcasts if its measured size allows it.
 
 Defined results: null and empty texts, of documents and of items, overlap
 nothing; very long texts are compared whole; repeated documents with one id
-give one row for each item; null ids are kept as such; empty tables give no
-rows. Other columns are ignored. Only built-in functions are used.
+give one row for each item, as do repeated items; of several windows that
+agree alike the last in the document is reported; null ids are kept as such;
+empty tables give no rows. Items of fewer than ``least_words`` words take no
+part; ``left_out`` lists them. Other columns are ignored. Only built-in
+functions are used.
 """
 
 from __future__ import annotations
@@ -28,6 +33,9 @@ from functools import reduce
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from millrace.llm.tables import saved
+from millrace.session import scratch_path
+
 WINDOW, AGREEMENT = 13, 0.75
 #: Masks by the number of words of an item, ``WINDOW`` for longer ones too. 1 is
 #: a position that counts, and ignored ones meet any word. Found by enumeration:
@@ -47,7 +55,7 @@ FAMILIES = {
     12: ("111011", "110100011", "11001011", "110111"),
     13: ("110111", "111011", "1101000011"),
 }
-#: Seeds broadcast at once: under 40 bytes each, and the items' words besides.
+#: Seeds broadcast at once, of 32 bytes each: hash, item, position, hash of the window before.
 BLOCK_SEEDS = 200_000
 
 
@@ -104,18 +112,15 @@ def overlaps(
     doc_id: str = "doc_id",
     item_id: str = "item_id",
     text: str = "text",
+    least_words: int = 1,
 ) -> DataFrame:
     """One row per contaminated document and item.
 
     Columns: doc_id, item_id, agreeing words of the best window, its length
     and its first word's number in the document.
     """
-    items = (
-        benchmark.select(F.col(item_id).alias("item_id"), words(F.col(text)).alias("item"))
-        .where(F.size("item") > 0)
-        .distinct()
-    )
-    size = F.least(F.size("item"), F.lit(WINDOW))
+    items = numbered(benchmark, item_id, text, least_words)
+    size = F.least(F.size("words"), F.lit(WINDOW))
     lengths = [row["n"] for row in items.select(size.alias("n")).distinct().collect()]  # WINDOW numbers at most
     families = {n: FAMILIES[n] for n in sorted(lengths) or [WINDOW]}
     masks = sorted({mask for family in families.values() for mask in family})
@@ -124,13 +129,13 @@ def overlaps(
         own = own | ((size == n) & F.col("mask").isin([masks.index(mask) for mask in family]))
 
     seeds = (
-        items.select("item_id", "item", F.posexplode("item").alias("item_at", "_"))
+        items.select("item", "words", F.posexplode("words").alias("item_at", "_"))
         .select(
-            "item_id", "item", "item_at",
-            F.posexplode(windows("item", "item_at", masks)).alias("mask", "hash"),
+            "item", "words", "item_at",
+            F.posexplode(windows("words", "item_at", masks)).alias("mask", "hash"),
         )
         .where(F.col("hash").isNotNull() & own)
-        .withColumn("before", before("item", "item_at", masks))
+        .select("hash", "item", "item_at", "mask", before("words", "item_at", masks).alias("before"))
     )
     blocks = -(-max(seeds.count(), 1) // BLOCK_SEEDS)
     tokens = docs.select(F.col(doc_id).alias("doc_id"), words(F.col(text)).alias("words"))
@@ -140,17 +145,19 @@ def overlaps(
     )
     found = []
     for block in range(blocks):
-        part = seeds.where(F.pmod(F.xxhash64("item_id", "item"), F.lit(blocks)) == block)
+        part = seeds.where(F.pmod(F.xxhash64("item", "item_at", "mask"), F.lit(blocks)) == block)
         # The first of a run of hits: the windows just before differ, or there is none.
         first = ~F.coalesce(before("words", "at", masks) == F.col("before"), F.lit(False))
-        hits = at.join(F.broadcast(part), (at["hash"] == part["hash"]) & first)
+        hits = at.join(F.broadcast(part), (at["hash"] == part["hash"]) & first).select(
+            "doc_id", "words", "item", (F.col("at") - F.col("item_at")).alias("shift")
+        )
+        texts = items.select("item", "item_id", F.col("words").alias("item_words"))
         found.append(
-            hits.select(
-                "doc_id",
-                "item_id",
-                overlap(F.col("item"), F.col("words"), F.col("at") - F.col("item_at")).alias("best"),
+            hits.join(texts, "item").select(
+                "doc_id", "item_id",
+                overlap(F.col("item_words"), F.col("words"), F.col("shift")).alias("best"),
             )
-        )
+        )
     # Filtered only now: before, Spark would verify inside the join, outside generated code.
     return (
         reduce(DataFrame.unionByName, found)
@@ -161,6 +168,22 @@ def overlaps(
     )
 
 
+def numbered(benchmark: DataFrame, item_id: str, text: str, least_words: int) -> DataFrame:
+    """Distinct items with their words and a number, written so that the numbers stay and the size is known."""
+    items = (
+        benchmark.select(F.col(item_id).alias("item_id"), words(F.col(text)).alias("words"))
+        .where(F.size("words") >= max(least_words, 1))
+        .distinct()
+        .withColumn("item", F.monotonically_increasing_id())
+    )
+    return saved(items, scratch_path(benchmark.sparkSession, "benchmark"))
+
+
+def left_out(benchmark: DataFrame, least_words: int, text: str = "text") -> DataFrame:
+    """The items that ``least_words`` leaves out, with all their columns."""
+    return benchmark.where(F.size(words(F.col(text))) < least_words)
+
+
 def before(words: str, at: str, masks: list[str]) -> Column:
     """The hash of the window one word earlier, under the mask of the row; null at the start."""
     hashed = F.lit(None).cast("long")
@@ -172,8 +195,22 @@ def before(words: str, at: str, masks: list[str]) -> Column:
 
 
 def without_overlaps(
-    docs: DataFrame, benchmark: DataFrame, doc_id: str = "doc_id", text: str = "text"
+    docs: DataFrame,
+    benchmark: DataFrame,
+    doc_id: str = "doc_id",
+    text: str = "text",
+    least_words: int = 1,
 ) -> DataFrame:
-    """The documents that no item contaminates; those without an id stay."""
-    leaked = overlaps(docs, benchmark, doc_id=doc_id, text=text).select("doc_id").distinct()
-    return docs.join(leaked, docs[doc_id] == leaked["doc_id"], "left_anti")
+    """The documents that no item contaminates; one without an id goes by its own text.
+
+    What is contaminated is written first: Spark broadcasts it if its measured
+    size allows that, and the texts are shuffled only if it does not.
+    """
+    # No id in digits is as long as a digest.
+    key = F.coalesce(F.col(doc_id).cast("string"), F.sha2(F.col(text), 256))
+    keyed = docs.select(key.alias("doc"), F.col(text).alias("text"))
+    bench = benchmark.select(F.lit(0).alias("item_id"), F.col(text).alias("text"))
+    leaked = overlaps(keyed, bench, doc_id="doc", least_words=least_words)
+    leaked = leaked.select(F.col("doc_id").alias("doc")).distinct()
+    leaked = saved(leaked, scratch_path(docs.sparkSession, "contaminated"))
+    return docs.join(leaked, key == leaked["doc"], "left_anti")

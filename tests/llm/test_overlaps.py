@@ -140,6 +140,19 @@ def test_one_of_each_group_stays(spark):
     assert sorted(r["doc_id"] for r in kept.collect()) == sorted({c for _, c in groups.values()})
 
 
+def test_one_of_each_without_ids_and_with_any_columns(spark):
+    a, b, c = (" ".join(f"{x}{n}" for n in range(30)) for x in "abc")
+    rows = [(4, a), (None, a), (None, b), (None, b), (None, b + " more"), (None, None), (None, None), (None, " "), (9, None), (7, c)]
+    table = spark.createDataFrame(rows, "doc_id long, text string").select(
+        "*", F.lit(1).alias("_nth"), F.lit(2).alias("key"), F.create_map(F.lit("m"), "doc_id").alias("map")
+    )
+    kept = jaccard_join.one_of_each(table)
+    assert kept.columns == table.columns
+    found = Counter((r["doc_id"], r["text"]) for r in kept.collect())
+    assert found.pop((None, b), 0) + found.pop((None, b + " more"), 0) == 1
+    assert found == {(4, a): 1, (7, c): 1, (9, None): 1, (None, None): 2, (None, " "): 1}
+
+
 # --- decontamination
 
 
@@ -210,6 +223,28 @@ def test_documents_that_begin_with_an_item(spark):
     assert not {r["doc_id"] for r in kept} & {*range(8), *range(10, 18), 20, 21}
 
 
+def test_contaminated_rows_without_ids_go(spark):
+    item = " ".join(f"v{n}" for n in range(20))
+    docs = [(None, "well " + item), (None, "clean"), (None, None), (3, item), (4, "one two")]
+    table = spark.createDataFrame(docs, "doc_id long, text string").withColumn("doc", F.lit(1))
+    bench = spark.createDataFrame([(None, item), (5, "two"), (5, "two")], "item_id long, text string")
+    kept = decontaminate.without_overlaps(table, bench, least_words=4)
+    assert kept.columns == table.columns
+    assert sorted(map(str, (r["text"] for r in kept.collect()))) == ["None", "clean", "one two"]
+    assert [r["text"] for r in decontaminate.left_out(bench, 4).collect()] == ["two", "two"]
+    assert decontaminate.without_overlaps(table, bench).count() == 2
+
+
+def test_very_long_items_send_no_words_with_their_seeds(spark):
+    item = [f"v{n}" for n in range(5000)]
+    docs = [(1, " ".join(item)), (2, " ".join(item[3000:3013])), (3, " ".join(reversed(item)))]
+    table = spark.createDataFrame(docs, "doc_id long, text string")
+    bench = spark.createDataFrame([(1, " ".join(item))], "item_id long, text string")
+    found = decontaminate.overlaps(table, bench).collect()
+    assert sorted((r["doc_id"], r["agree"]) for r in found) == [(1, 13), (2, 13)]
+    assert {r["doc_id"]: r["start"] for r in found}[2] <= 0
+
+
 def test_masks_hit_every_pattern_of_the_rule():
     for size in range(1, decontaminate.WINDOW + 1):
         lost = int(size - decontaminate.AGREEMENT * size)
