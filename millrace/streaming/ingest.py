@@ -40,7 +40,11 @@ def classify(messages: DataFrame, contract: Contract = Contract()) -> DataFrame:
     """
     parsed = messages.select(*message_text()).withColumn("_event", F.try_parse_json("_text"))
     judged = with_reason(parsed, "_event", "_text", contract, REASON)
-    return judged.select(
+    anomaly = F.col(REASON).isNull() & F.coalesce(_field("is_anomaly", "boolean"), F.lit(False))
+    # Generated, as a filter on a projected column is pushed down with a copy of its whole
+    # expression for each time it is named: every message would be parsed many times.
+    outcome = F.inline(F.array(F.struct(REASON, anomaly.alias("is_anomaly"))))
+    return judged.select(*parsed.columns, outcome).select(
         "_text",
         "_event",
         "_kafka_offset",
@@ -48,14 +52,13 @@ def classify(messages: DataFrame, contract: Contract = Contract()) -> DataFrame:
         "_kafka_topic",
         "_kafka_key",
         REASON,
-        (F.col(REASON).isNull() & F.coalesce(_field("is_anomaly", "boolean"), F.lit(False)))
-        .alias("is_anomaly"),
+        "is_anomaly",
         F.coalesce(_field("factory_id"), F.lit("UNKNOWN")).alias("factory_id"),
         F.coalesce(_field("measurement_type"), F.lit("UNKNOWN")).alias("measurement_type"),
         event_day(_field("timestamp")).alias("dt"),
         # Taken here: on a replay, columns of the stream have the first run's clock.
         F.current_date().alias(INGEST_DAY),
-    )
+    )
 
 
 def _json_line(extra: dict[str, Column]) -> Column:

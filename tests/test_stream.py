@@ -297,3 +297,15 @@ def test_dry_run_counts_and_writes_nothing(spark, tmp_path):
     observed = query.recentProgress[0]["observedMetrics"]["ingest"]
     assert (observed["received"], observed["invalid"]) == (2, 1)
     assert not (tmp_path / "bronze").exists()
+
+
+def test_a_filter_on_the_outcome_does_not_judge_each_message_again(spark):
+    classified = classify(messages(spark, [event(), "{bad json"]))
+    for filtered in (
+        classified.filter("_dlq_reason IS NOT NULL").select("_kafka_offset", "_dlq_reason"),
+        classified.filter(F.col("_dlq_reason").rlike("^Mensagem")).select("_kafka_offset", "_dlq_reason"),
+        anomaly_alerts(classified),
+    ):
+        plan = filtered._jdf.queryExecution().optimizedPlan().toString()
+        assert plan.count("array_except(") == 1, plan
+    assert values(classified.filter("_dlq_reason IS NOT NULL"), "_kafka_offset", "_kafka_offset") == [1]
