@@ -309,3 +309,20 @@ def test_a_filter_on_the_outcome_does_not_judge_each_message_again(spark):
         plan = filtered._jdf.queryExecution().optimizedPlan().toString()
         assert plan.count("array_except(") == 1, plan
     assert values(classified.filter("_dlq_reason IS NOT NULL"), "_kafka_offset", "_kafka_offset") == [1]
+
+
+def test_tasks_of_a_small_batch_do_not_follow_the_shuffle_partitions(spark, tmp_path):
+    tracker = spark.sparkContext.statusTracker()
+    before = spark.conf.get("spark.sql.shuffle.partitions")
+    spark.conf.set("spark.sql.shuffle.partitions", "150")
+    spark.sparkContext.setJobGroup("small-batch", "")
+    try:
+        batch_writer(str(tmp_path))(classify(messages(spark, [event(), event(is_anomaly=True), "{bad"])), 0)
+    finally:
+        spark.sparkContext.setLocalProperty("spark.jobGroup.id", None)
+        spark.conf.set("spark.sql.shuffle.partitions", before)
+    jobs = [tracker.getJobInfo(j) for j in tracker.getJobIdsForGroup("small-batch")]
+    stages = {s: tracker.getStageInfo(s) for job in jobs for s in job.stageIds}
+    assert jobs and sum(s.numTasks for s in stages.values() if s) < 150
+    assert (bronze_events(spark, str(tmp_path)).count(), dead_letters(spark, str(tmp_path)).count()) == (2, 1)
+    assert spark.read.parquet(f"{tmp_path}/{ALERTS}").count() == 1
