@@ -94,18 +94,18 @@ def _alerts_of_stream(spark, d, limits, batches: int = 2) -> DataFrame:
     path = scratch_path(spark, "range-alerts")
     source, asked = f"{path}-events", []
     events = i.events(spark, d).select(*reports.ALERT_COLUMNS, "n")
-    for part in range(batches):
-        again = F.col("n") % (5 * batches) == 0 if part else F.lit(False)
-        late = events.filter((F.col("n") % batches == part) | again)
-        late.drop("n").coalesce(1).write.mode("append").parquet(source)
 
     def next_limits() -> Limits:
         asked.append(len(asked))
         return limits(asked[-1])
 
-    schema = events.drop("n").schema
-    stream = spark.readStream.schema(schema).option("maxFilesPerTrigger", 1).parquet(source)
-    start_range_alerts(stream, path, f"{path}-checkpoint", next_limits, available_now=True).awaitTermination()
+    # A batch has all files that came since the one before, written by as many tasks as read.
+    for part in range(batches):
+        again = F.col("n") % (5 * batches) == 0 if part else F.lit(False)
+        late = events.filter((F.col("n") % batches == part) | again)
+        late.drop("n").write.mode("append").parquet(source)
+        stream = spark.readStream.schema(events.drop("n").schema).parquet(source)
+        start_range_alerts(stream, path, f"{path}-checkpoint", next_limits, available_now=True).awaitTermination()
     return alert_history(spark, path).withColumn("timestamp", i.ntz("timestamp"))
 
 
