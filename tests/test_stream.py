@@ -1,6 +1,7 @@
 """Contract reasons, ingest outputs, replays and windows."""
 
 import datetime as dt
+import importlib
 import json
 import os
 
@@ -326,3 +327,18 @@ def test_tasks_of_a_small_batch_do_not_follow_the_shuffle_partitions(spark, tmp_
     assert jobs and sum(s.numTasks for s in stages.values() if s) < 150
     assert (bronze_events(spark, str(tmp_path)).count(), dead_letters(spark, str(tmp_path)).count()) == (2, 1)
     assert spark.read.parquet(f"{tmp_path}/{ALERTS}").count() == 1
+
+
+@pytest.mark.parametrize(
+    "module, name, batches", [("reporting", "rmp04_stream", 2), ("streams", "rmp01_late", 4)]
+)
+def test_the_source_of_a_stream_is_written_by_several_tasks(spark, tmp_path, monkeypatch, module, name, batches):
+    catalog = importlib.import_module(f"millrace.catalog.{module}")
+    monkeypatch.setattr(catalog, "scratch_path", lambda _, kind: f"{tmp_path}/{kind}")
+    tables = "/root/testdata/sf0.001"
+    spark.read.parquet(f"{tables}/events.parquet").repartition(3).write.parquet(f"{tmp_path}/in/events.parquet")
+    found = catalog.__dict__[name](spark, f"{tmp_path}/in").count()
+    folder = {"rmp04_stream": "range-alerts-events", "rmp01_late": "shuffled"}[name]
+    assert found and len(list((tmp_path / folder).glob("part-*.parquet"))) > batches
+    offsets = [p for p in tmp_path.glob("*-checkpoint/offsets/*") if p.name.isdigit()]
+    assert len(offsets) == batches
