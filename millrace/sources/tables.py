@@ -137,17 +137,20 @@ class SnapshotTable:
 
     def read_with_parts(self, manifest: Manifest, parts: Collection[str]) -> DataFrame:
         """Rows of some partitions with the folder of each as ``_part``, as in file addresses."""
-        return self._with_part(self._read_parts(manifest, parts, "_file"))
+        return self._with_part(self._read_parts(manifest, parts, "_file"), manifest.partition_by)
 
     def read_staged_with_parts(self, staged: Staged) -> DataFrame:
         folders = [self._folder(staged.snapshot, p) for p in staged.parts]
-        return self._with_part(self._load(staged.schema, folders, "_file"))
+        return self._with_part(self._load(staged.schema, folders, "_file"), staged.partition_by)
 
     @staticmethod
-    def _with_part(df: DataFrame) -> DataFrame:
-        if "_file" not in df.columns:  # no folders, so no files
-            return df.withColumn("_part", F.lit(""))
-        part = F.regexp_extract("_file", rf"{_SNAPSHOT}=[^/]+/(.*?)/?[^/]+$", 1)
+    def _with_part(df: DataFrame, partition_by: Sequence[str]) -> DataFrame:
+        depth = len(partition_by)
+        if "_file" not in df.columns or not depth:  # no folders, so no files
+            return df.withColumn("_part", F.lit("")).drop("_file")
+        # The folders above the file's name, cut out for each row: a regular expression
+        # takes several times as long as reading the row.
+        part = F.substring_index(F.substring_index("_file", "/", -depth - 1), "/", depth)
         return df.withColumn("_part", part).drop("_file")
 
     # -- write -----------------------------------------------------------
