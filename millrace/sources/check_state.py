@@ -63,7 +63,9 @@ class CheckState:
         # The folder as the table names it, by the folder as addresses of files spell it.
         names = self.spark.createDataFrame(list(map(tuple, missing)), "part string, snapshot string")
         rows = self.table.read_with_parts(manifest, parts)
-        rows = rows.withColumn("_part", F.url_decode(F.replace("_part", F.lit("+"), F.lit("%2B"))))
+        decoded = F.url_decode(F.replace("_part", F.lit("+"), F.lit("%2B")))
+        spelt = F.when(F.contains("_part", F.lit("%")), decoded).otherwise(F.col("_part"))
+        rows = rows.withColumn("_part", spelt)
         if self.unique:
             each = F.explode(
                 F.array(*[
