@@ -8,6 +8,10 @@ from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from millrace.operators.filters import is_true
+from millrace.sources.files import input_bytes
+
+#: Bytes of files of readings for each partition of the join with the dimensions.
+PIECE = 8 << 20
 
 ALERT_COLUMNS = (
     "event_id", "sensor_id", "equipment_id", "factory_id", "measurement_type",
@@ -149,6 +153,11 @@ def readings_as_events(
     # Dimensions are joined to each other first, so that the readings are
     # joined (and, if it comes to that, shuffled) once.
     places = sensor.join(site, "equipment_id", "left").join(kind, "tipo_medicao_id", "left")
+    # The join and the groups of a fact after it, at least one for each sensor and day, share
+    # these partitions: without more of them for more readings, what a task holds would grow.
+    pieces = input_bytes(readings) // PIECE
+    if pieces > int(readings.sparkSession.conf.get("spark.sql.shuffle.partitions")):
+        readings = readings.repartition(pieces, "sensor_id")
     return (
         readings.join(status, "status_qualidade_id", "left")
         .join(places, "sensor_id", "left")

@@ -2,7 +2,9 @@
 
 from __future__ import annotations
 
-from pyspark.sql import SparkSession
+from urllib.parse import unquote
+
+from pyspark.sql import DataFrame, SparkSession
 
 
 def _open(spark: SparkSession, path: str):
@@ -16,6 +18,15 @@ def matching(spark: SparkSession, pattern: str) -> list[str]:
     return [s.getPath().toString() for s in (fs.globStatus(path) or [])]
 
 
+def input_bytes(df: DataFrame) -> int:
+    """Size of the files that a DataFrame reads; 0 if it reads none."""
+    total = 0
+    for file in df.inputFiles():
+        fs, path = _open(df.sparkSession, unquote(file))
+        total += fs.getFileStatus(path).getLen()
+    return total
+
+
 def read_text(spark: SparkSession, path: str) -> str:
     fs, hadoop_path = _open(spark, path)
     stream = fs.open(hadoop_path)

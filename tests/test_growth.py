@@ -46,3 +46,24 @@ def test_sums_of_hashes_are_exact_and_no_decimals(spark):
     for r in sums.collect():
         assert (r["first_high"] << 32) + r["first_low"] == whole["a"][r["_part"]]
         assert (r["second_high"] << 32) + r["second_low"] == whole["b"][r["_part"]]
+
+
+def test_more_readings_are_joined_in_more_partitions(spark, tmp_path, monkeypatch):
+    path = str(tmp_path / "with space")
+    rows = [(f"r{n}", f"s{n % 7}", 1.0, 1, n % 2 == 0, DAY) for n in range(100)]
+    kinds = "id string, sensor_id string, valor double, status_qualidade_id int, is_anomalia boolean, timestamp_leitura timestamp"
+    spark.createDataFrame(rows, kinds).write.parquet(path)
+    readings = spark.read.parquet(path)
+    size = sum(os.path.getsize(f"{path}/{f}") for f in os.listdir(path) if f.endswith(".parquet"))
+    sides = (
+        spark.createDataFrame([(1, "good")], "id int, nome string"),
+        spark.createDataFrame([("s1", "e1", 1)], "id string, equipamento_id string, tipo_medicao_id int"),
+        spark.createDataFrame([("e1", "f1")], "id string, fabrica_id string"),
+        spark.createDataFrame([(1, "temperature")], "id int, nome string"),
+    )
+    few = reports.readings_as_events(readings, *sides)
+    assert "REPARTITION_BY_NUM" not in plan(few)
+    monkeypatch.setattr(reports, "PIECE", size // 20)
+    many = reports.readings_as_events(readings, *sides)
+    assert "REPARTITION_BY_NUM" in plan(many)
+    assert sorted(many.collect()) == sorted(few.collect())
