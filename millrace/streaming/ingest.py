@@ -40,7 +40,10 @@ def classify(messages: DataFrame, contract: Contract = Contract()) -> DataFrame:
 
     The text is parsed to a variant once; everything after reads the variant.
     """
-    parsed = messages.select(*message_text()).withColumn("_event", F.try_parse_json("_text"))
+    # Generated, as Spark makes one function of all projections up to the messages' source,
+    # and one as long as that is not compiled well. What is generated starts another.
+    text = messages.select(F.inline(F.array(F.struct(*message_text()))))
+    parsed = text.withColumn("_event", F.try_parse_json("_text"))
     judged = with_reason(parsed, "_event", "_text", contract, REASON)
     anomaly = F.col(REASON).isNull() & F.coalesce(_field("is_anomaly", "boolean"), F.lit(False))
     # Generated, as a filter on a projected column is pushed down with a copy of its whole

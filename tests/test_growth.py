@@ -67,3 +67,8 @@ def test_more_readings_are_joined_in_more_partitions(spark, tmp_path, monkeypatc
     many = reports.readings_as_events(readings, *sides)
     assert "REPARTITION_BY_NUM" in plan(many)
     assert sorted(many.collect()) == sorted(few.collect())
+def test_the_contract_is_a_function_of_its_own(spark):
+    sent = messages(spark, [event(), "{bad"])
+    judged = classify(sent)
+    assert plan(judged).count("Generate") == 2
+    assert judged.filter("_dlq_reason IS NULL").count() == 1
