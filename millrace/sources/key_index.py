@@ -61,31 +61,35 @@ class KeyIndex:
         parts = manifest.parts if manifest else ()
         return {int(p.rsplit(f"{LOAD}=", 1)[1]) for p in parts}
 
-    def _entries(self, rows: DataFrame, version: int) -> Staged:
-        """Keys and partitions of rows that carry their folder as ``_part``."""
-        entries = (
-            self._hashed(rows)
-            .select("_key", "_part", self._bucket().alias(BUCKET), F.lit(version).alias(LOAD))
-            .distinct()
+    def _entries(self, rows: DataFrame, version: int) -> DataFrame:
+        """Keys and partitions of rows that carry their folder as ``_part``.
+
+        One for each row: keys of a load are unique, so looking for repeated ones would
+        shuffle all entries once more to find none.
+        """
+        return self._hashed(rows).select(
+            "_key", "_part", self._bucket().alias(BUCKET), F.lit(version).alias(LOAD)
         )
+
+    def _stage(self, entries: DataFrame) -> Staged:
         return self.table.stage(entries, (BUCKET, LOAD), constant=[LOAD])
 
     def cover(self, current: Manifest) -> None:
         """Build the index anew if the table has loads that it lacks."""
         if max(self._loads(), default=0) < current.version:
             rows = self.owner.read_with_parts(current, current.parts)
-            self.table.replace(self._entries(rows, current.version))
+            self.table.replace(self._stage(self._entries(rows, current.version)))
 
     def add(self, staged: Staged, version: int) -> None:
         """Enter a staged batch that is about to become a version of the table."""
-        entries = self._entries(self.owner.read_staged_with_parts(staged), version)
+        entries = self._stage(self._entries(self.owner.read_staged_with_parts(staged), version))
         if entries.parts:
             self.table.replace_partitions(entries)
         else:
             self.table.discard(entries)
         if len(self._loads()) > self.most_loads:
             whole = self.table.read().withColumn(LOAD, F.lit(version)).distinct()
-            self.table.replace(self.table.stage(whole, (BUCKET, LOAD), constant=[LOAD]))
+            self.table.replace(self._stage(whole))
             self.table.vacuum()
 
     def parts_of(self, source: DataFrame) -> set[str]:

@@ -14,10 +14,12 @@ import json
 import posixpath
 import uuid
 from collections.abc import Collection, Mapping, Sequence
+from concurrent.futures import ThreadPoolExecutor
 from dataclasses import dataclass, replace
 from typing import TYPE_CHECKING
 from urllib.parse import unquote
 
+from pyspark import inheritable_thread_target
 from pyspark.sql import DataFrame, Row, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
@@ -245,7 +247,8 @@ class SnapshotTable:
         ``key_ranges`` (lowest and highest key of the batch). With
         ``keys_stay`` the caller states that a key never changes partition,
         and the scan is saved. An ``index`` of the keys leaves the scan only the
-        partitions that it names.
+        partitions that it names; the batch is entered into it while the partitions are
+        rewritten, and before the table shows it.
 
         With ``content`` a row replaces its match only if it differs in these columns, and
         a partition of the batch that holds the very rows of the table's is not
@@ -264,14 +267,14 @@ class SnapshotTable:
             if not staged.parts:
                 self.discard(staged)
                 return []
-        if index and previous:
-            index.cover(previous)
-        if index:
-            index.add(staged, previous.version + 1 if previous else 1)
         if previous is None:
+            if index:
+                index.add(staged, 1)
             self.replace(staged)
             return []
         self._require_same_shape(previous, staged)
+        if index:
+            index.cover(previous)
         source = self.read_staged(staged)
 
         base = dict(previous.parts)
@@ -290,21 +293,24 @@ class SnapshotTable:
             touched |= self._matched_parts(
                 kept, candidates, source, keys, null_safe, key_ranges or {}
             )
-        if not touched:
-            self._publish(
-                staged, {**base, **{p: staged.snapshot for p in staged.parts}}, previous
-            )
-            return []
-
-        merged = upsert(
-            self._read_parts(kept, touched),
-            source,
-            keys,
-            null_safe=null_safe,
-            use_row_hash=use_row_hash,
-            content=content,
-        )
-        result = self.stage(merged, previous.partition_by)
+        result = staged
+        # Neither needs the other, and each leaves cores idle while its last tasks run.
+        with ThreadPoolExecutor(1, thread_name_prefix="index") as beside:
+            if index:
+                enter = inheritable_thread_target(self.spark)(index.add)
+                entered = beside.submit(enter, staged, previous.version + 1)
+            if touched:
+                merged = upsert(
+                    self._read_parts(kept, touched),
+                    source,
+                    keys,
+                    null_safe=null_safe,
+                    use_row_hash=use_row_hash,
+                    content=content,
+                )
+                result = self.stage(merged, previous.partition_by)
+            if index:
+                entered.result()
         parts = {p: s for p, s in base.items() if p not in touched}
         parts.update({p: result.snapshot for p in result.parts})
         self._publish(result, parts, previous)

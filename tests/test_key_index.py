@@ -1,6 +1,7 @@
 """Upserts that find their keys by an index, against those that search all history."""
 
 import datetime as dt
+import threading
 
 import pytest
 from pyspark.sql import functions as F
@@ -120,6 +121,53 @@ def test_null_safe_and_several_keys(spark, tmp_path):
     assert table.merge(empty, ["k", "v"], null_safe=["v"], index=index) == []
 
 
+def test_entries_are_shuffled_only_to_be_written(spark, tmp_path, monkeypatch):
+    both, plans, stage = Both(spark, tmp_path), [], SnapshotTable.stage
+
+    def noting(table, df, *args, **kwargs):
+        if table.path.endswith("_keys"):
+            plans.append(df._jdf.queryExecution().executedPlan().toString())
+        return stage(table, df, *args, **kwargs)
+
+    monkeypatch.setattr(SnapshotTable, "stage", noting)
+    # rows of a new table may repeat a key
+    both.load([("a", "1", "x", 1), ("a", "2", "x", 1), ("a", "3", "y", 1), (None, "4", "y", 1)])
+    assert both.load([("a", "5", "z", 2), ("b", "5", "z", 2)]) == [f"p={p}/_execution_date=2031-03-01" for p in "xy"]
+    assert len(plans) == 2
+    assert not any(step in plan for plan in plans for step in ("Exchange", "Aggregate"))
+
+
+def test_batch_is_entered_while_partitions_are_rewritten(spark, tmp_path, monkeypatch):
+    both = Both(spark, tmp_path)
+    both.load([("a", "1", "x", 1), ("b", "1", "y", 1)])
+    add, stage, rewriting, seen = both.index.add, both.indexed.stage, threading.Event(), []
+
+    def waiting(staged, version):
+        seen.append(rewriting.wait(60))
+        add(staged, version)
+        seen.append(both.indexed.manifest().version < version)
+
+    def noting(df, *args, **kwargs):
+        if threading.current_thread() is threading.main_thread() and "_in_source" in df._jdf.queryExecution().analyzed().toString():
+            rewriting.set()
+        return stage(df, *args, **kwargs)
+
+    monkeypatch.setattr(both.index, "add", waiting)
+    monkeypatch.setattr(both.indexed, "stage", noting)
+    assert both.load([("a", "2", "z", 2)]) == ["p=x/_execution_date=2031-03-01"]
+    assert seen == [True, True]
+
+
+def test_batch_that_cannot_be_merged_leaves_the_table(spark, tmp_path):
+    both = Both(spark, tmp_path)
+    both.load([("a", "1", "x", 1), ("b", "1", "y", 1)])
+    staged = both.indexed.stage(frame(spark, [("a", "2", "z", 2), ("a", "3", "z", 2)]), PART)
+    with pytest.raises(Exception, match="several source rows"):
+        both.indexed.merge(staged, ["k"], index=both.index)
+    assert both.indexed.manifest().version == 1
+    assert both.load([("a", "4", "w", 3)]) == ["p=x/_execution_date=2031-03-01"]
+
+
 def test_tables_of_keys_that_may_come_in_any_partition_are_indexed():
     for path in ("silver/kafka/sensor_events", "silver/postgres/metadados_leitura"):
         assert find_table(path).indexed and not find_table(path).keys_stay
