@@ -4,6 +4,7 @@ import itertools
 import random
 import re
 from collections import Counter
+from types import SimpleNamespace
 
 import numpy as np
 import pyarrow as pa
@@ -107,6 +108,48 @@ def test_components_equal_brute_force(spark, monkeypatch, frequent, crowd):
     assert {r["doc_id"]: (r["n_shingles"], r["component_id"]) for r in found} == plain_components(rows)
 
 
+def test_components_in_many_rounds_and_without_large_tables(spark, monkeypatch, tmp_path):
+    monkeypatch.setattr(jaccard_join, "LEAST_ROUND", 6000)
+    monkeypatch.setattr(jaccard_join, "CROWD", 3)
+    monkeypatch.setattr(jaccard_join, "BLOCK", 4)
+    written, real = [], jaccard_join.saved
+    monkeypatch.setattr(jaccard_join, "saved", lambda df, path: written.append((path, df.columns)) or real(df, path))
+    rows = families(3)
+    found = jaccard_join.components(spark.createDataFrame(rows, "doc_id long, text string")).collect()
+    assert {r["doc_id"]: (r["n_shingles"], r["component_id"]) for r in found} == plain_components(rows)
+    names = [path.split("/", 1)[1] for path, _ in written]
+    assert sum("/first-links/" in n for n in names) > 1
+    assert sum("/second-links/" in n or "/crowd-links/" in n for n in names) > 2
+    # counts of all shingles are shuffled, not stored
+    assert not any("value" in columns and "n" in columns for _, columns in written)
+
+
+def test_only_the_wanted_copy_of_a_text_gives_its_set(monkeypatch):
+    text = "one two three four five six seven eight"
+    batch = pa.RecordBatch.from_pydict({"doc_id": pa.array([4, 5, None], pa.int64()), "text": [text] * 3})
+    own = jaccard_join.class_of(next(jaccard_join.shingle_sets(batch.column(1), 5)))
+
+    def bits(number):
+        whole = np.zeros(1 << jaccard_join.FILTER_BITS, np.uint8)
+        whole[number % (1 << jaccard_join.FILTER_BITS)] = 1
+        return SimpleNamespace(value=np.packbits(whole).tobytes())
+
+    for wanted, ids in ((5, [5]), (jaccard_join.NO_ID, [jaccard_join.NO_ID])):
+        found = pa.Table.from_batches(jaccard_join.needed_sets([batch], 5, bits(own), bits(wanted)))
+        assert found["rep"].to_pylist() == ids
+    found = pa.Table.from_batches(jaccard_join.needed_sets([batch], 5, bits(own + 1), bits(5)))
+    assert found.num_rows == 0
+
+
+def test_counted_values_are_kept_in_few_bytes():
+    values = np.unique(np.random.default_rng(1).integers(0, 1 << 32, 1 << 18, np.uint32))
+    held = jaccard_join.planes(jaccard_join.steps(values))
+    assert np.array_equal(np.cumsum(jaccard_join.unplaned(held), dtype=np.uint32), values)
+    assert len(pa.compress(held, "lz4", asbytes=True)) < 0.75 * values.nbytes
+    ones = np.ones(1 << 18, np.uint32)
+    assert len(pa.compress(jaccard_join.planes(ones), "lz4", asbytes=True)) < 0.01 * ones.nbytes
+
+
 def test_common_counts_equal_sets(monkeypatch):
     monkeypatch.setattr(jaccard_join, "CHUNK", 50)
     r = random.Random(4)
@@ -140,6 +183,17 @@ def test_one_of_each_group_stays(spark):
     assert sorted(r["doc_id"] for r in kept.collect()) == sorted({c for _, c in groups.values()})
 
 
+def test_rows_that_filters_tell_are_not_shuffled(spark, monkeypatch):
+    rows = families(1)
+    groups = plain_components(rows)
+    table = spark.createDataFrame([(d, t, None, "s", n) for n in (1, 2) for d, t in rows[:: 2 - n % 2]], DOCS)
+    want = sorted({c for d, c in (groups[d] for d, _ in rows)})
+    kept = jaccard_join.one_of_each(table)
+    assert sorted(r["doc_id"] for r in kept.collect()) == want
+    # No row is joined with the keys that go; an exact join sees those that a filter leaves open.
+    assert "LeftAnti" not in kept._jdf.queryExecution().optimizedPlan().toString()
+
+
 def test_one_of_each_without_ids_and_with_any_columns(spark):
     a, b, c = (" ".join(f"{x}{n}" for n in range(30)) for x in "abc")
     rows = [(4, a), (None, a), (None, b), (None, b), (None, b + " more"), (None, None), (None, None), (None, " "), (9, None), (7, c)]
