@@ -11,10 +11,13 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from millrace.operators.quality import Rule, report
-from millrace.sources.files import matching
+from millrace.session import session_conf
+from millrace.sources.files import input_bytes, matching
 from millrace.sources.tables import SnapshotTable
 
 LOAD = "_load"
+#: Bytes of files for each partition that values are counted in.
+PIECE = 8 << 20
 
 
 class CheckState:
@@ -75,7 +78,8 @@ class CheckState:
             )
             values = rows.select("_part", each.alias("e")).select("_part", "e.*").filter("value IS NOT NULL")
             values = values.groupBy("_part", "rule", "value").agg(F.count(F.lit(1)).alias("n"))
-            self._write(values, names, "values", load)
+            with session_conf(self.spark, self._small_tasks(rows)):
+                self._write(values, names, "values", load)
         counted = rows.groupBy("_part").agg(
             F.count(F.lit(1)).alias("rows"),
             *[self.rules[i].violations().alias(f"rule_{i}") for i in self.plain],
@@ -83,8 +87,28 @@ class CheckState:
         self._write(counted, names, "counts", load)
         return sorted(parts)
 
+    def _small_tasks(self, rows: DataFrame) -> dict[str, str]:
+        """Settings with which a task holds the values of few rows, however many there are.
+
+        A value is often in one row only, so that neither side of the shuffle has fewer
+        values to hold than rows. Adaptive execution merges what are too small partitions.
+        """
+        number = self._pieces(rows)
+        if not number:
+            return {}
+        return {
+            "spark.sql.adaptive.coalescePartitions.initialPartitionNum": str(number),
+            "spark.sql.files.maxPartitionBytes": str(2 * PIECE),
+        }
+
+    def _pieces(self, rows: DataFrame) -> int:
+        """Partitions by the size of the rows' files; 0 if the session's own number is enough."""
+        number = input_bytes(rows) // PIECE
+        return number if number > int(self.spark.conf.get("spark.sql.shuffle.partitions")) else 0
+
     def _write(self, state: DataFrame, names: DataFrame, name: str, load: str) -> None:
-        named = names.join(state.withColumnRenamed("_part", "part"), "part")
+        # The list of partitions comes from the driver; a shuffle by it would make a task of each.
+        named = F.broadcast(names).join(state.withColumnRenamed("_part", "part"), "part")
         target = f"{self.path}/{name}/{LOAD}={load}"
         named.write.mode("overwrite").parquet(target)
 
@@ -94,7 +118,11 @@ class CheckState:
         sums = [F.coalesce(F.sum(c), F.lit(0)).alias(c) for c in ("rows", *(f"rule_{i}" for i in self.plain))]
         total = held.agg(*sums)
         schema = f"part string, snapshot string, rule int, value string, n long, {LOAD} string"
-        values = self._read("values", schema).join(held, ["part", "snapshot", LOAD], "left_semi")
+        values = self._read("values", schema)
+        number = self._pieces(values)
+        values = values.join(held, ["part", "snapshot", LOAD], "left_semi")
+        if number:  # a value is there once for each partition at most, so none is hot
+            values = values.select("rule", "value", "n").repartition(number, "value")
         values = values.groupBy("rule", "value").agg(F.sum("n").alias("n"))
         for i in self.unique:
             known = F.sum("n")

@@ -1,11 +1,13 @@
 """Reports of whole tables from the states of their partitions."""
 
 import datetime as dt
+import re
 
 import pytest
 
 from conftest import rows
 from millrace.operators.quality import complete, contained_in, measure, non_negative, report, unique
+from millrace.sources import check_state
 from millrace.sources.check_state import CheckState
 from millrace.sources.files import delete_tree
 from millrace.sources.tables import SnapshotTable
@@ -66,3 +68,22 @@ def test_a_run_that_failed_half_way_counts_nothing(spark, tmp_path, monkeypatch)
         with pytest.raises(OSError):
             state.refresh()
     assert shown(state.report(DAY)) == recomputed(table)
+
+
+def test_values_are_counted_in_partitions_by_the_size_of_files(spark, tmp_path, monkeypatch):
+    monkeypatch.setattr(check_state, "PIECE", 100)
+    table = SnapshotTable(spark, str(tmp_path))
+    state, settings, write = CheckState(table, RULES), [], CheckState._write
+
+    def noted(self, *args):
+        settings.append(spark.conf.get("spark.sql.adaptive.coalescePartitions.initialPartitionNum", None))
+        write(self, *args)
+
+    monkeypatch.setattr(CheckState, "_write", noted)
+    for half in (0, 1):
+        load(spark, table, [(n % 70, f"v{n % 90}" if n % 8 else None, f"p{n % 6}{half}") for n in range(120)])
+        assert shown(state.report(DAY)) == recomputed(table)
+    assert all(int(n) > 8 for n in settings[::2]) and settings[1::2] == [None, None]
+    plan = state.measured()._jdf.queryExecution().optimizedPlan().toString()
+    numbers = [int(n) for n in re.findall(r"RepartitionByExpression \[value#\d+\], (\d+)", plan)]
+    assert numbers and min(numbers) > 8
